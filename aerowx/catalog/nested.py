@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..operators import conform
+from ..operators.flow import reshuffle
 from ..plans.forecasts import forecast_series, forecasts, place_documents
 from ..sources import files
 from .registry import query, table
@@ -139,7 +140,9 @@ def _documents(spark, folder):
         city.alias("city"),
         F.array(*[step(k) for k in range(_STEPS)]).alias("list"),
     )
-    return table(spark, folder, "events").select(
+    # Writing and parsing JSON is the costly step here.
+    events = reshuffle(table(spark, folder, "events"), "event_id")
+    return events.select(
         F.col("user_id").cast("string").alias("airport_code"), F.to_json(document).alias("json")
     )
 

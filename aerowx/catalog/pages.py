@@ -56,7 +56,7 @@ def status_counts(spark, folder):
 )
 def html_tables(spark, folder):
     """The pages hold lists, not tables: the same extraction with list tags."""
-    rows = tables_in(table(spark, folder, "pages"), "page_id", "html", "ul", "li", ("li",))
+    rows = tables_in(table(spark, folder, "pages"), ["page_id"], "html", "ul", "li", ("li",))
     return rows.select("page_id", "table_no", "row_no", F.get("cells", F.lit(0)).alias("item"))
 
 
@@ -87,7 +87,7 @@ _LAID = f"""
 
 
 def _laid(spark, folder):
-    laid = positions.side_by_side(_tables(spark, folder), "scene")
+    laid = positions.side_by_side(_tables(spark, folder), ["scene"])
     text = F.array_join("cells", ",", "none")
     return laid.withColumn("cells", text)
 

@@ -70,7 +70,13 @@ def flatten_forecasts(documents: DataFrame) -> DataFrame:
     A document with an empty or missing list gives no rows. Missing rain is 0, an
     empty weather array gives NULL texts.
     """
-    steps = documents.select("city", F.explode("list").alias("step"))
+    # A plain explode adds a filter on the list below it, and where documents are
+    # parsed from text that filter parses each of them again.
+    steps = (
+        documents.select("city", F.posexplode_outer("list").alias("_pos", "step"))
+        .where(F.col("_pos").isNotNull())
+        .drop("_pos")
+    )
     weather = F.get(F.col("step.weather"), F.lit(0))
     return steps.select(
         F.col("city.name").alias("airport_code"),

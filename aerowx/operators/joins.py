@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -22,9 +23,23 @@ SALTS = 32
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure ``df``, as JSON text, against the broadcast bounds: one pass, two numbers back."""
-    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))).cast("bigint"))
-    rows, n_bytes = df.agg(F.count(F.lit(1)), size).first()
+    """Measure ``df`` against the broadcast bounds: one pass, two numbers back.
+
+    Columns of fixed width count by their width, others by their JSON text. A bound
+    of 0 says no without looking.
+    """
+    if max_rows <= 0:
+        return False
+    wide = [
+        f.name
+        for f in df.schema.fields
+        if not isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType))
+    ]
+    width = F.lit(8 * len(df.columns))
+    if wide:
+        texts = F.to_json(F.struct(*[F.col(f"`{c}`") for c in wide]))
+        width = width + F.octet_length(texts)
+    rows, n_bytes = df.agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
     return rows <= max_rows and (n_bytes or 0) <= max_bytes
 
 
@@ -60,7 +75,7 @@ def _salted(
         .withColumn("_salt", F.explode(copies))
         .drop("_hot")
     )
-    return left.drop("_hot").join(right, [*on, "_salt"], how).drop("_salt")
+    return left.drop("_hot").join(right.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def enrich(
@@ -87,8 +102,10 @@ def enrich(
         raise ValueError(f"cannot enrich with a {how} join")
     if fits_broadcast(keyed, max_rows, max_bytes):
         return facts.join(F.broadcast(keyed), keys, how)
+    # The hint keeps the planner from broadcasting on an estimate: it takes an
+    # exploded side, for one, to be as small as its input.
     if hot_rows is None:
-        return facts.join(keyed, keys, how)
+        return facts.join(keyed.hint("merge"), keys, how)
     return _salted(facts, keyed, keys, how, hot_rows, spread_by)
 
 

@@ -65,10 +65,5 @@ def with_batch(
 
     So a batch holds min_size to 2*min_size-1 rows, unless there are fewer in all.
     """
-    size = F.lit(min_size)
-    last = F.greatest(F.floor(F.col("_total") / size) - 1, F.lit(0))
-    return (
-        _placed(df, order_by)
-        .withColumn(name, F.least(F.floor(F.col("_number") / size), last))
-        .drop("_number", "_total")
-    )
+    batch = f"least(_number div {min_size}, greatest(_total div {min_size} - 1, 0L))"
+    return _placed(df, order_by).withColumn(name, F.expr(batch)).drop("_number", "_total")

@@ -8,48 +8,51 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def side_by_side(rows: DataFrame, key: str, skip: int = 1) -> DataFrame:
+def side_by_side(rows: DataFrame, keys: Sequence[str], skip: int = 1) -> DataFrame:
     """Join the tables of each page column-wise on the row number.
 
-    Input (key, table_no, row_no, cells); output (key, row_no, cells, width) with the
-    cells in table order. A table's width is that of its widest row; a table too
+    Input (*keys, table_no, row_no, cells); output (*keys, row_no, cells, width) with
+    the cells in table order. A table's width is that of its widest row; a table too
     short for a row gives NULLs there. The first ``skip`` rows are left out.
-    The windows span one page's tables.
+
+    Copies of a row are dropped in each task first, so that a page landed many times
+    weighs as much as one. From then on a page's rows stay together: the widths, the
+    layout and the joined rows take one shuffle by page.
     """
-    cell_count = F.size("cells")
-    widths = rows.groupBy(key, "table_no").agg(F.max(cell_count).alias("_wide"))
-    before = (
-        Window.partitionBy(key).orderBy("table_no").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    layout = widths.select(
-        key,
-        "table_no",
-        F.coalesce(F.sum("_wide").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_wide").over(Window.partitionBy(key)).alias("width"),
+    keys = list(keys)
+    page = Window.partitionBy(*keys)
+    wide = F.max(F.size("cells")).over(Window.partitionBy(*keys, "table_no"))
+    sized = (
+        rows.select(*keys, "table_no", "row_no", "cells")
+        .distinct()
+        .repartition(*keys)
+        .withColumn("_wide", wide)
+        .withColumn("_widths", F.collect_set(F.struct("table_no", "_wide")).over(page))
     )
-    numbered = F.transform(
+
+    def total(widths):
+        return F.aggregate(widths, F.lit(0), lambda n, t: n + t["_wide"])
+
+    earlier = F.filter("_widths", lambda t: t["table_no"] < F.col("table_no"))
+    placed = F.transform(
         "cells",
-        lambda cell, i: F.struct(
-            (F.col("_offset") + i).cast("int").alias("place"), cell.alias("text")
-        ),
-    )
-    parts = (
-        rows.where(F.col("row_no") >= skip)
-        .join(layout, [key, "table_no"])
-        .select(key, "row_no", "width", numbered.alias("_cells"))
+        lambda cell, i: F.struct((F.col("_offset") + i).alias("place"), cell.alias("text")),
     )
     by_place = F.map_from_entries(F.flatten(F.collect_list("_cells")))
     return (
-        parts.groupBy(key, "row_no", "width")
+        sized.where(F.col("row_no") >= skip)
+        .withColumns({"_offset": total(earlier), "width": total(F.col("_widths"))})
+        .select(*keys, "row_no", "width", placed.alias("_cells"))
+        .groupBy(*keys, "row_no", "width")
         .agg(by_place.alias("_by_place"))
         .select(
-            key,
+            *keys,
             "row_no",
             F.transform(
-                F.sequence(F.lit(0), F.col("width").cast("int") - 1),
+                F.sequence(F.lit(0), F.col("width") - 1),
                 lambda i: F.try_element_at("_by_place", i),
             ).alias("cells"),
-            F.col("width").cast("int").alias("width"),
+            "width",
         )
     )
 

@@ -89,8 +89,7 @@ def mosaics_at(
     start = shift_hours("at", -lookback_hours)
     hours = F.sequence(slot(start, 24), slot("at", 24))
     windows = dates.select("at").distinct().select("at", F.explode(hours).alias("_hour"))
-    if fits_broadcast(windows, **bounds):
-        windows = F.broadcast(windows)
+    windows = F.broadcast(windows) if fits_broadcast(windows, **bounds) else windows.hint("merge")
     valid = pixels.where(F.col("value").isNotNull()).withColumn("_hour", slot("scene_ts", 24))
     inside = (F.col("scene_ts") >= shift_hours("at", -lookback_hours)) & (
         F.col("scene_ts") < F.col("at")
@@ -230,11 +229,32 @@ def values_at(
     """The mosaic value that each probe (row, col, band, at) sees: ``carry`` + value.
 
     ``carry`` must identify a probe. NULL if no valid scene lies in the window.
+    """
+    near = _nearest(pixels, probes, carry, lookback_hours, pick, slices_per_day, **bounds)
+    return near.groupBy(*carry).agg(_choose(pick)("_value", "_ts").alias("value"))
+
+
+def _choose(pick: str):
+    return F.min_by if pick == "earliest" else F.max_by
+
+
+def _nearest(
+    pixels: DataFrame,
+    probes: DataFrame,
+    carry: Sequence[str],
+    lookback_hours: int,
+    pick: str,
+    slices_per_day: int,
+    **bounds,
+) -> DataFrame:
+    """``carry`` with the time and value of the best pixel in each slice of a probe's
+    window; both NULL where a slice has none.
 
     No pair of pixel and probe is built. Time is cut into slices, a probe goes to
     the slices its window touches, and one sort per cell, band and slice passes the
-    nearest valid pixel on to each probe; the best of a probe's slices wins. A busy
-    cell is thus split by time; ``slices_per_day`` splits it further.
+    nearest valid pixel on to each probe. A busy cell is thus split by time;
+    ``slices_per_day`` splits it further. Times of different slices differ, so the
+    best of a probe's slices needs no tie-break.
     """
     _check(pick)
     if 24 % slices_per_day:
@@ -277,18 +297,17 @@ def values_at(
     by_time = [F.desc("_pos") if earliest else F.asc("_pos"), F.asc("_turn")]
     by_value = F.desc("_hit.value") if earliest else F.asc("_hit.value")
     order = Window.partitionBy(*place).orderBy(*by_time, by_value)
-    nearest = F.last("_hit", ignorenulls=True).over(
+    hit = F.last("_hit", ignorenulls=True).over(
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    seen = pixel_rows.union(probe_rows).withColumn("_hit", nearest).where("_asks")
+    seen = pixel_rows.union(probe_rows).withColumn("_hit", hit).where("_asks")
     inside = (F.col("_hit.scene_ts") >= shift_hours("_at", -lookback_hours)) & (
         F.col("_hit.scene_ts") < F.col("_at")
     )
-    choose = F.min if earliest else F.max
-    return (
-        seen.groupBy(*[F.col(f"_c_{c}").alias(c) for c in carry])
-        .agg(choose(F.when(inside, F.col("_hit"))).alias("_hit"))
-        .select(*carry, F.col("_hit.value").alias("value"))
+    return seen.select(
+        *[F.col(f"_c_{c}").alias(c) for c in carry],
+        F.when(inside, F.col("_hit.scene_ts")).alias("_ts"),
+        F.when(inside, F.col("_hit.value")).alias("_value"),
     )
 
 
@@ -303,13 +322,15 @@ def lagged_features(
     hours: Mapping[str, int],
     band: str,
     fill: float | None = 0.0,
-    **options,
+    lookback_hours: int = C.LOOKBACK_HOURS,
+    pick: str = "earliest",
+    slices_per_day: int = 1,
+    **bounds,
 ) -> DataFrame:
     """For each distinct point (at, row, col), the band's value at ``at`` + h hours.
 
     One column per entry of ``hours``; masked pixels get ``fill``.
     """
-    names = list(hours)
     lags = F.array(
         *[F.struct(F.lit(n).alias("name"), F.lit(h).alias("h")) for n, h in hours.items()]
     )
@@ -325,10 +346,14 @@ def lagged_features(
             shift_hours("at", F.col("lag.h")).alias("at"),
         )
     )
-    found = values_at(pixels, probes, ["point_at", *CELL, "name"], **options)
-    wide = found.groupBy(F.col("point_at").alias("at"), *CELL).pivot("name", names)
-    out = wide.agg(F.max("value"))
-    return out if fill is None else out.na.fill(fill, names)
+    carry = ["point_at", *CELL, "name"]
+    near = _nearest(pixels, probes, carry, lookback_hours, pick, slices_per_day, **bounds)
+
+    def seen(name: str) -> Column:
+        value = _choose(pick)("_value", F.when(F.col("name") == name, F.col("_ts")))
+        return (value if fill is None else F.coalesce(value, F.lit(fill))).alias(name)
+
+    return near.groupBy(F.col("point_at").alias("at"), *CELL).agg(*[seen(n) for n in hours])
 
 
 def cell_columns(

@@ -26,18 +26,19 @@ def staged_from_pages(pages: DataFrame, key: str = "url") -> tuple[DataFrame, Da
 
     ``pages`` has ``key``, ``html``, ``airport_code`` and ``year_month``. The month's
     tables are laid side by side; a page of another width than the contract's is
-    left out.
+    left out. Copies of a page count once; two versions of it both give rows.
     """
-    usable = page_status(pages).where("usable")
-    tables = html_tables(usable, key).where(
+    named = [key, "airport_code", "year_month"]
+    versions = page_status(pages).withColumn("_version", F.xxhash64("html"))
+    tables = html_tables(versions.where("usable"), [*named, "_version"]).where(
         ~F.col("is_header")
         & F.col("table_no").between(C.FIRST_HISTORY_TABLE, C.LAST_HISTORY_TABLE)
     )
-    good, _ = split_by_width(side_by_side(tables, key), len(C.STAGING_NAMES))
-    rows = named_cells(good, list(C.STAGING_NAMES)).drop("row_no")
-    names = pages.select(key, "airport_code", "year_month")
-    staged = rows.join(names, key)
-    return staged, names.join(rows.select(key).distinct(), key, "left_anti")
+    laid = side_by_side(tables, [*named, "_version"])
+    good, _ = split_by_width(laid, len(C.STAGING_NAMES))
+    staged = named_cells(good, list(C.STAGING_NAMES)).drop("row_no", "_version")
+    asked = pages.select(*named).distinct()
+    return staged, asked.join(staged.select(key).distinct(), key, "left_anti")
 
 
 def historic(staged: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import contracts as C
+from .operators.flow import at_most_parallel
 from .operators.joins import enrich
 from .operators.sampling import first_per_key
 
@@ -98,7 +100,7 @@ def write_npz(
     patch_size: int,
     input_channels: int,
     label_channels: int,
-    max_parallel: int = 10,
+    max_parallel: int = C.MAX_REQUESTS,
 ) -> DataFrame:
     """Write each batch as ``{batch_id}.npz`` with arrays ``inputs`` and ``labels``
     of shape (examples, size, size, channels); returns (batch_id, file_name).
@@ -135,4 +137,4 @@ def write_npz(
 
     schema = "batch_id bigint, file_name string"
     rows = batched.select(F.col("batch_id").cast("bigint"), "inputs", "labels")
-    return rows.repartition(max_parallel, "batch_id").mapInPandas(save, schema)
+    return at_most_parallel(rows, max_parallel, "batch_id").mapInPandas(save, schema)

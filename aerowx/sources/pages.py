@@ -101,38 +101,37 @@ class _Tables(HTMLParser):
 
 def html_tables(
     pages: DataFrame,
-    key: str,
+    keys: Sequence[str],
     html: str = "html",
     container: str = "table",
     row: str = "tr",
     cells: Sequence[str] = ("td", "th"),
 ) -> DataFrame:
-    """(key, table_no from 1, row_no from 0, is_header, cells) for every row of every table.
+    """(*keys, table_no from 1, row_no from 0, is_header, cells): every row of every table.
 
     Body rows and header rows are numbered apart; header rows are those in a
     ``thead`` or, without one, the leading rows of ``th`` cells only.
     """
-    kind = pages.schema[key].dataType
-    schema = T.StructType(
+    keys = list(keys)
+    found = T.StructType(
         [
-            T.StructField(key, kind),
             T.StructField("table_no", T.IntegerType()),
             T.StructField("row_no", T.IntegerType()),
             T.StructField("is_header", T.BooleanType()),
             T.StructField("cells", T.ArrayType(T.StringType())),
         ]
     )
-    names = schema.fieldNames()
+    schema = T.StructType([*[pages.schema[k] for k in keys], *found.fields])
     tags = (container, row, tuple(cells))
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for page, text in zip(batch[key], batch[html]):
+            for page in batch.itertuples(index=False, name=None):
                 parser = _Tables(*tags)
-                parser.feed(text or "")
+                parser.feed(page[-1] or "")
                 parser.close()
-                out.extend((page, *found) for found in parser.rows)
-            yield pd.DataFrame(out, columns=names)
+                out.extend((*page[:-1], *line) for line in parser.rows)
+            yield pd.DataFrame(out, columns=schema.fieldNames())
 
-    return pages.select(key, html).mapInPandas(extract, schema)
+    return pages.select(*keys, html).mapInPandas(extract, schema)

@@ -37,6 +37,7 @@ def pages(spark):
             ("good", page(), "ACK", "2023-1"),
             ("headed", page(head=True), "ATL", "2023-2"),
             ("short", page(short="Rain"), "BIH", "2023-3"),
+            ("short", page(short="Rain"), "BIH", "2023-3"),
             ("narrow", page(tables=5), "DAL", "2023-4"),
             ("missing", "<h1>Error 404: Page Not Found</h1>" + page(), "EMP", "2023-5"),
             ("empty", None, "FRI", "2023-6"),
@@ -65,7 +66,7 @@ def test_nested_tables_spans_and_headers(spark, rows):
           <tr><td colspan=2>wide</td><td>x<table><tr><td>inner<td>open</table>y</td></tr>
           <tr></tr><tr><td>last &lt;cell&gt;</td>
     """
-    found = html_tables(spark.createDataFrame([(1, text)], "id int, html string"), "id")
+    found = html_tables(spark.createDataFrame([(1, text)], "id int, html string"), ["id"])
     assert rows(found) == [
         (1, 1, 0, False, ["wide", "wide", "xinneropeny"]),
         (1, 1, 0, True, ["a", "b"]),
@@ -76,7 +77,7 @@ def test_nested_tables_spans_and_headers(spark, rows):
 
 def test_status(pages):
     checked = page_status(pages)
-    assert tuple(status_counts(checked).first()) == (4, 2)
+    assert tuple(status_counts(checked).first()) == (5, 2)
 
 
 def test_month_grid_is_a_projection(spark):
