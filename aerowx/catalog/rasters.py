@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import contracts as C
 from ..functions.geo import cell_index
 from ..operators import patches, raster
+from ..plans import maps
 from ..plans.training import training_examples
 from .registry import PIXELS, TILES, pixels, query, table, tiles
 
@@ -349,3 +350,63 @@ def training_patches(spark, folder):
         return F.array_join(whole, ",").alias(name)
 
     return examples.select("at", "row", "col", text("inputs"), text("labels"))
+
+
+def _named(spark, folder):
+    """The stand-in pixels under the band names that the map layers read."""
+    names = {"view": C.PRECIPITATION_BAND, "click": "CMI_C01", "error": "CMI_C02", "signup": "CMI_C03"}
+    by_name = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    scenes = pixels(spark, folder)
+    return scenes.withColumn("band", F.coalesce(by_name[F.col("band")], F.col("band")))
+
+
+_SEEN = f"""
+    {PIXELS}, seen AS (
+        SELECT "row", "col", band, arg_min(value, scene_ts) AS value FROM pixels
+        WHERE value IS NOT NULL AND scene_ts >= {_AT} - INTERVAL 1 DAY AND scene_ts < {_AT} GROUP BY ALL)
+"""
+
+
+@query(
+    f"""
+    WITH {_SEEN}, shown AS (
+        SELECT *, CAST(least(greatest(floor(value / 20 * 10), 0), 9) AS INTEGER) AS class
+        FROM seen WHERE band = 'view' AND value > 0.1)
+    SELECT "row", "col", 'precipitationCal' AS band, value, class,
+           ['000096', '0064ff', '00b4ff', '33db80', '9beb4a', 'ffeb00', 'ffb300', 'ff6400',
+            'eb1e00', 'af0000'][class + 1] AS colour FROM shown
+    """
+)
+def map_precipitation(spark, folder):
+    return maps.precipitation_layer(_named(spark, folder), AT)
+
+
+def _stretched(band: str) -> str:
+    value = f"coalesce(max(CASE WHEN band = '{band}' THEN value END), 0)"
+    return f"CAST(least(greatest(floor({value} / 3000 * 256), 0), 255) AS INTEGER)"
+
+
+@query(
+    f"""
+    WITH {_SEEN}, grid AS (SELECT DISTINCT "row", "col" FROM pixels)
+    SELECT "row", "col", {_stretched("error")} AS red, {_stretched("signup")} AS green,
+           {_stretched("click")} AS blue
+    FROM grid LEFT JOIN seen USING ("row", "col") GROUP BY ALL
+    """
+)
+def map_imager(spark, folder):
+    scenes = _named(spark, folder)
+    return maps.imager_layer(scenes, AT, scenes.select("row", "col").distinct())
+
+
+@query(
+    f"""
+    WITH {PIXELS}, grid AS (SELECT "row", "col", max(value) * 12 AS value FROM pixels GROUP BY ALL),
+    classed AS (
+        SELECT *, CAST(least(greatest(floor(value / 3000 * 8), 0), 7) AS INTEGER) AS class FROM grid)
+    SELECT *, ['000000', '478FCD', '86C58E', 'AFC35E', '8F7131', 'B78D4F', 'E2B8A6', 'FFFFFF'][class + 1]
+           AS colour FROM classed
+    """
+)
+def map_elevation(spark, folder):
+    return maps.elevation_layer(_grid(pixels(spark, folder)))

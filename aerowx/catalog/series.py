@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..operators import series
-from ..plans.historic import historic, weekly_lines, weekly_series
+from ..plans.historic import historic, staged_from_pages, weekly_lines, weekly_series
 from .registry import query, table
 
 _WEEKLY = """
@@ -109,6 +109,33 @@ def _staged(spark, folder):
     )
 
 
+def _pages(spark, folder):
+    """The same months as web pages: two tables of no use, then seven that belong side by side."""
+    names = list(C.STAGING_NAMES)
+    columns = [F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)]
+    days = _staged(spark, folder).select("airport_code", "year_month", *columns)
+    # A month has 31 days at most.
+    month = F.array_sort(F.collect_list(F.struct(*[f"c{i}" for i in range(len(names))])))
+
+    def line(*texts):
+        cells = [part for t in texts for part in (F.lit("<td> "), t, F.lit("\n</td>"))]
+        return F.concat(F.lit("<tr>"), *cells, F.lit("</tr>"))
+
+    def html_table(first, width):
+        rows = F.transform("month", lambda d: line(*[d[f"c{first + i}"] for i in range(width)]))
+        head = line(*[F.lit(f"sub {i}") for i in range(width)])
+        return F.concat(F.lit("<table>"), head, F.array_join(rows, ""), F.lit("</table>"))
+
+    menu = F.lit("<table><tr><td>menu</td></tr></table>")
+    tables = [html_table(first, 3) for first in range(1, 16, 3)]
+    return days.groupBy("airport_code", "year_month").agg(month.alias("month")).select(
+        F.concat_ws("/", "airport_code", "year_month").alias("url"),
+        F.concat(menu, menu, html_table(0, 1), *tables, html_table(16, 1)).alias("html"),
+        "airport_code",
+        "year_month",
+    )
+
+
 _HISTORIC = """
     days AS (
         SELECT 'U' || user_id AS airport_code, CAST(ts AS DATE) AS date_recorded,
@@ -133,6 +160,11 @@ def historic_table(spark, folder):
     return historic(_staged(spark, folder))[0]
 
 
+@query(f"WITH {_HISTORIC} SELECT * FROM historic")
+def historic_from_pages(spark, folder):
+    return historic(staged_from_pages(_pages(spark, folder))[0])[0]
+
+
 @query(f"WITH {_HISTORIC} SELECT airport_code, count(*) AS n_rows FROM days WHERE n = 1 GROUP BY 1")
 def historic_rejects(spark, folder):
     rejected = historic(_staged(spark, folder))[1]

@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import contracts as C
 from ..functions.times import ntz
 from .joins import enrich
 from .series import allowed
@@ -17,6 +18,12 @@ def rows_for(df: DataFrame, key: str, value) -> DataFrame:
     return df.where(F.col(key) == F.lit(value))
 
 
+def table_rows(spark: SparkSession, name: str, code: str | None = None) -> DataFrame:
+    """All rows of one of the three tables, or those of an airport."""
+    rows = spark.table(allowed(name, tuple(C.TABLES)))
+    return rows if code is None else rows_for(rows, "airport_code", code)
+
+
 def at_hour(df: DataFrame, key: str, value, time: str, moment: dt.datetime) -> DataFrame:
     """Rows of a key within the hour that holds ``moment``, in time order.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .joins import enrich
@@ -59,6 +59,13 @@ def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.union(b), [_profile(n, df) for n, df in tables.items()])
 
 
+def profile_catalog(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """The profile of every table the catalog lists."""
+    names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+    prefix = f"{database}." if database else ""
+    return profile({n: spark.table(prefix + n) for n in names})
+
+
 def _profile(name: str, df: DataFrame) -> DataFrame:
     filled = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)]
     counts = df.agg(F.count(F.lit(1)).alias("row_count"), *filled)

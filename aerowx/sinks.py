@@ -30,15 +30,15 @@ def write_partitioned(
     df: DataFrame,
     path: str,
     by: Sequence[str] = ("airport_code", "year_month"),
-    files_per_partition: int = 1,
-    spread_by: Sequence[str] | None = None,
+    mode: str = "overwrite",
 ) -> None:
-    """Hive-style folders, a bounded number of files in each.
+    """Hive-style folders with few files in each.
 
-    Raise ``files_per_partition`` where one folder takes a large share of the rows.
+    Rebalanced, not repartitioned: a folder that takes a large share of the rows is
+    split over tasks and files, and small ones share a task.
     """
-    draw = F.pmod(F.xxhash64(*(spread_by or df.columns)), F.lit(files_per_partition))
-    df.repartition(*by, draw).write.mode("overwrite").partitionBy(*by).parquet(path)
+    even = df.hint("rebalance", *[F.col(c) for c in by])
+    even.write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import contracts as C
 from ..functions.text import path_part
 from ..plans.historic import historic
-from ..sinks import new_rows
+from ..sinks import new_rows, write_partitioned
 
 KEYS = ["airport_code", "date_recorded"]
 
@@ -41,10 +41,7 @@ def append_landed(
         incoming = rows.withColumn("year_month", month)
         existing = session.read.schema(incoming.schema).parquet(table_path)
         there = existing.join(incoming.select("year_month").distinct(), "year_month", "left_semi")
-        fresh = new_rows(incoming, there, KEYS)
-        fresh.repartition("year_month").write.mode("append").partitionBy("year_month").parquet(
-            table_path
-        )
+        write_partitioned(new_rows(incoming, there, KEYS), table_path, ["year_month"], "append")
 
     spark.createDataFrame([], C.HISTORIC).withColumn(
         "year_month", F.lit("").cast("string")

@@ -204,3 +204,18 @@ def test_cells_of_points(spark):
     df = spark.createDataFrame([(-139.9, 59.9), (-140.0, 60.0), (-139.0, 58.0)], "lon double, lat double")
     found = df.select(*raster.cell_columns("lon", "lat", -140.0, 60.0, 0.5).values())
     assert [tuple(r) for r in found.collect()] == [(0, 0), (0, 0), (4, 2)]
+
+
+def test_map_layers(spark, scenes):
+    from aerowx.plans import maps
+
+    rain = maps.precipitation_layer(scenes, T0)
+    assert {r["col"]: (r["class"], r["colour"]) for r in rain.collect()} == {
+        0: (0, "000096"), 1: (1, "0064ff"), 3: (1, "0064ff"), 6: (3, "33db80"),
+    }
+    grid = spark.createDataFrame([(0, 0, 3000.0), (0, 1, None)], "row int, col int, elevation double")
+    heights = {r["col"]: r["colour"] for r in maps.elevation_layer(grid).collect()}
+    assert heights == {0: "FFFFFF", 1: None}
+    picture = maps.imager_layer(scenes.withColumn("value", scenes["value"] * 200), T0, grid)
+    assert {r["col"]: tuple(r)[2:] for r in picture.collect()} == {0: (0, 0, 153), 1: (0, 0, 0)}
+    assert maps.layer_moments(T0, C.LABEL_HOURS) == [T0 + 2 * H, T0 + 6 * H]

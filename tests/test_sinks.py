@@ -5,6 +5,7 @@ import pytest
 
 from aerowx import contracts as C
 from aerowx import sinks
+from aerowx.operators import lookups, quality
 from aerowx.operators.conform import cast_to
 from aerowx.sources import files, jdbc
 
@@ -20,6 +21,19 @@ def test_appending_twice_adds_nothing(spark, rows):
     assert sinks.new_rows(incoming, first, ["code", "day"]).count() == 0
 
 
+def test_a_folder_with_most_rows_is_split(spark, tmp_path, plan_of):
+    for key, value in {"advisoryPartitionSizeInBytes": "2k", "coalescePartitions.minPartitionSize": "1k"}.items():
+        spark.conf.set(f"spark.sql.adaptive.{key}", value)
+    try:
+        df = spark.range(20_000).selectExpr("if(id % 3 = 0, 'HOT', concat('K', id % 5)) as k", "id")
+        sinks.write_partitioned(df.repartition(8), str(tmp_path / "t"), ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    assert len(list((tmp_path / "t" / "k=HOT").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 20_000
+
+
 def test_parquet_and_json(spark, tmp_path, rows):
     df = spark.range(10).selectExpr("cast(id as int) as id", "concat('n', id) as name")
     sinks.write_parquet(df, str(tmp_path / "p"))
@@ -36,13 +50,21 @@ def test_tables_are_recreated_empty(spark):
     for name, schema in C.TABLES.items():
         sinks.recreate_table(spark, name, schema)
         cast_to(spark.range(1), schema).write.insertInto(name)
-        assert spark.table(name).count() == 1
+        assert lookups.table_rows(spark, name).count() == 1
+        assert lookups.table_rows(spark, name, "ACK").count() == 0
+        profiled = quality.profile_catalog(spark).where(f"table_name = '{name}'")
+        assert profiled.count() == len(schema) and profiled.first()["row_count"] == 1
         sinks.recreate_table(spark, name, schema)
         assert spark.table(name).count() == 0
         assert spark.table(name).schema.simpleString() == schema.simpleString()
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_only_known_tables(spark):
+    with pytest.raises(ValueError):
+        lookups.table_rows(spark, "airports; DROP TABLE airports")
+
+
 class Writer:
     def __init__(self):
         self.calls = []
