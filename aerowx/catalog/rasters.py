@@ -7,10 +7,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from .. import contracts as C
-from ..functions.geo import cell_index
 from ..operators import patches, raster
 from ..plans import maps
 from ..plans.training import training_examples
+from ..session import durable
 from .registry import PIXELS, TILES, pixels, query, table, tiles
 
 BANDS = ["click", "error", "purchase", "signup", "view"]
@@ -342,7 +342,7 @@ def training_patches(spark, folder):
         "band",
         F.when(F.col("band") == "view", C.PRECIPITATION_BAND).otherwise(F.col("band")),
     )
-    points = raster.one_cell_per_stratum(_strata(spark, folder))
+    points = durable(raster.one_cell_per_stratum(_strata(spark, folder)))
     examples = training_examples(scenes, _grid(scenes), points, _IMAGER, patch_size=3)
 
     def text(name):

@@ -262,14 +262,16 @@ def _nearest(
     earliest = pick == "earliest"
     start = shift_hours("at", -lookback_hours)
     place = [*CELL, "band", "_slice"]
-    slices = F.sequence(slot(start, slices_per_day), slot("at", slices_per_day))
-    asked = probes.select(*dict.fromkeys([*carry, *CELL, "band", "at"])).withColumn(
-        "_slice", F.explode(slices)
-    )
+    span = {"_first": slot(start, slices_per_day), "_last": slot("at", slices_per_day)}
+    each = F.explode(F.sequence("_first", "_last")).alias("_slice")
+    placed = probes.select(*dict.fromkeys([*carry, *CELL, "band", "at"])).withColumns(span)
+    asked = placed.select("*", each).drop(*span)
     valid = pixels.where(F.col("value").isNotNull()).select(
         *CELL, "band", "scene_ts", "value", slot("scene_ts", slices_per_day).alias("_slice")
     )
-    needed = asked.select(*place).distinct()
+    # Distinct before the slices are multiplied out, and after.
+    spans = placed.select(*CELL, "band", *span).distinct()
+    needed = spans.select(*CELL, "band", each).distinct()
     if fits_broadcast(needed, **bounds):
         valid = valid.join(F.broadcast(needed), place, "left_semi")
 

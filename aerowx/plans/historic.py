@@ -26,7 +26,8 @@ def staged_from_pages(pages: DataFrame, key: str = "url") -> tuple[DataFrame, Da
 
     ``pages`` has ``key``, ``html``, ``airport_code`` and ``year_month``. The month's
     tables are laid side by side; a page of another width than the contract's is
-    left out. Copies of a page count once; two versions of it both give rows.
+    left out. Copies of a page count once; two versions of it both give rows. Each
+    result parses the pages, so write the first one out before using the second.
     """
     named = [key, "airport_code", "year_month"]
     versions = page_status(pages).withColumn("_version", F.xxhash64("html"))

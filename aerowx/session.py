@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cpus: int | str = 8, partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cpus: int | str = 8,
+    partitions: int = 8,
+    memory: str = "8g",
+    settings: Mapping[str, str] | None = None,
+) -> SparkSession:
     """A local session for tests and benches; a cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -16,6 +22,7 @@ def local_session(cpus: int | str = 8, partitions: int = 8, memory: str = "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config(map=dict(settings or {}))
         .getOrCreate()
     )
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from . import contracts as C
 from .operators.flow import at_most_parallel
-from .operators.joins import enrich
+from .operators.joins import fits_broadcast
 from .operators.sampling import first_per_key
 
 # Ship this module's code with the tasks that write training files.
@@ -66,12 +66,18 @@ def new_rows(
 ) -> DataFrame:
     """Incoming rows to append: one per key, and none whose key is already there.
 
-    Keys compare as in a join, so rows with a NULL key are always new.
+    Keys compare as in a join, so rows with a NULL key are always new. The incoming
+    keys are broadcast once measured: a large table is then only scanned for them.
     """
+    keys = list(keys)
     once = first_per_key(incoming, keys, prefer)
-    # Both sides hold a key once by now, so no key is hot.
+    asked = once.select(*keys)
+    if fits_broadcast(asked, **bounds):
+        found = existing.select(*keys).join(F.broadcast(asked), keys, "left_semi").distinct()
+        # No more of them than were asked for.
+        return once.join(F.broadcast(found), keys, "left_anti")
     there = existing.select(*keys).distinct()
-    return enrich(once, there, list(keys), "left_anti", hot_rows=None, **bounds)
+    return once.join(there.hint("merge"), keys, "left_anti")
 
 
 def batches(

@@ -13,7 +13,6 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Ship this module's code with the tasks, so that workers need no copy of the package.

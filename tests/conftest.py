@@ -10,11 +10,8 @@ from aerowx.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    warehouse = tmp_path_factory.mktemp("warehouse")
-    SparkSession.builder.config("spark.sql.warehouse.dir", str(warehouse))
-    session = local_session(cpus=8, partitions=4, memory="4g")
+    warehouse = {"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))}
+    session = local_session(cpus=8, partitions=4, memory="4g", settings=warehouse)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

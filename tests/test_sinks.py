@@ -16,9 +16,12 @@ def test_appending_twice_adds_nothing(spark, rows):
         [("A", day, 1), ("A", day, 1), ("A", day, 0), ("B", day, 5)], "code string, day date, v int"
     )
     nothing = incoming.limit(0)
-    first = sinks.new_rows(incoming, nothing, ["code", "day"])
-    assert rows(first) == [("A", day, 0), ("B", day, 5)]
-    assert sinks.new_rows(incoming, first, ["code", "day"]).count() == 0
+    for bounds in ({}, {"max_rows": 0}):
+        first = sinks.new_rows(incoming, nothing, ["code", "day"], **bounds)
+        assert rows(first) == [("A", day, 0), ("B", day, 5)]
+        assert sinks.new_rows(incoming, first, ["code", "day"], **bounds).count() == 0
+        part = first.where("code = 'A'")
+        assert rows(sinks.new_rows(incoming, part, ["code", "day"], **bounds)) == [("B", day, 5)]
 
 
 def test_a_folder_with_most_rows_is_split(spark, tmp_path, plan_of):
@@ -34,6 +37,14 @@ def test_a_folder_with_most_rows_is_split(spark, tmp_path, plan_of):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 20_000
 
 
+def test_a_large_table_is_only_scanned(spark, tmp_path, plan_of):
+    path = str(tmp_path / "t")
+    spark.range(1000).write.parquet(path)
+    fresh = sinks.new_rows(spark.range(990, 1010), spark.read.parquet(path), ["id"])
+    assert sorted(r["id"] for r in fresh.collect()) == list(range(1000, 1010))
+    assert "SortMergeJoin" not in plan_of(fresh)
+
+
 def test_parquet_and_json(spark, tmp_path, rows):
     df = spark.range(10).selectExpr("cast(id as int) as id", "concat('n', id) as name")
     sinks.write_parquet(df, str(tmp_path / "p"))
