@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import contracts as C
 from ..operators import patches, raster
 from ..plans import maps
-from ..plans.training import training_examples
+from ..plans.training import training_batches, training_examples
 from ..session import durable
 from .registry import PIXELS, TILES, pixels, query, table, tiles
 
@@ -300,7 +300,7 @@ def stratum_points(spark, folder):
 _IMAGER = ["click", "error"]
 
 
-def _examples_sql() -> str:
+def _examples_cte() -> str:
     rows = [("inputs", i, "view", h) for i, h in enumerate(C.INPUT_HOURS)]
     rows += [
         ("inputs", 3 + 2 * i + j, band, h)
@@ -311,7 +311,7 @@ def _examples_sql() -> str:
     listed = ", ".join(f"('{p}', {c}, '{b}', {h})" for p, c, b, h in rows)
     number = "CAST(CAST(floor(CAST(CAST(value AS FLOAT) AS DOUBLE) * 1000) AS BIGINT) AS VARCHAR)"
     return f"""
-    WITH {_STRATA}, channels(part, channel, band, h) AS (VALUES {listed}),
+    {_STRATA}, channels(part, channel, band, h) AS (VALUES {listed}),
     steps AS (
         SELECT CAST(r AS INTEGER) AS r, CAST(c AS INTEGER) AS c
         FROM unnest(generate_series(-1, 1)) AS rs(r), unnest(generate_series(-1, 1)) AS cs(c)),
@@ -327,29 +327,53 @@ def _examples_sql() -> str:
         UNION ALL
         SELECT p."at", p."row", p."col", 'inputs', 9, r, c, coalesce(g.elevation, 0)
         FROM places p CROSS JOIN steps LEFT JOIN grid g
-          ON g."row" = p."row" + r AND g."col" = p."col" + c)
-    SELECT "at", "row", "col",
-           string_agg({number}, ',' ORDER BY r, c, channel) FILTER (WHERE part = 'inputs') AS inputs,
-           string_agg({number}, ',' ORDER BY r, c, channel) FILTER (WHERE part = 'labels') AS labels
-    FROM seen GROUP BY ALL
+          ON g."row" = p."row" + r AND g."col" = p."col" + c),
+    examples AS (
+        SELECT "at", "row", "col",
+               string_agg({number}, ',' ORDER BY r, c, channel) FILTER (WHERE part = 'inputs') AS inputs,
+               string_agg({number}, ',' ORDER BY r, c, channel) FILTER (WHERE part = 'labels') AS labels
+        FROM seen GROUP BY ALL)
     """
 
 
-@query(_examples_sql())
+def _rain_scenes(spark, folder):
+    """The stand-in pixels with 'view' as the rain band."""
+    band = F.when(F.col("band") == "view", C.PRECIPITATION_BAND).otherwise(F.col("band"))
+    return pixels(spark, folder).withColumn("band", band)
+
+
+def _text(name):
+    whole = F.transform(name, lambda v: F.floor(v.cast("double") * 1000).cast("string"))
+    return F.array_join(whole, ",").alias(name)
+
+
+@query(f"WITH {_examples_cte()} SELECT * FROM examples")
 def training_patches(spark, folder):
-    """Points, patches and labels of the training set: 'view' is the rain band."""
-    scenes = pixels(spark, folder).withColumn(
-        "band",
-        F.when(F.col("band") == "view", C.PRECIPITATION_BAND).otherwise(F.col("band")),
-    )
+    scenes = _rain_scenes(spark, folder)
     points = durable(raster.one_cell_per_stratum(_strata(spark, folder)))
     examples = training_examples(scenes, _grid(scenes), points, _IMAGER, patch_size=3)
+    return examples.select("at", "row", "col", _text("inputs"), _text("labels"))
 
-    def text(name):
-        whole = F.transform(name, lambda v: F.floor(v.cast("double") * 1000).cast("string"))
-        return F.array_join(whole, ",").alias(name)
 
-    return examples.select("at", "row", "col", text("inputs"), text("labels"))
+@query(
+    f"""
+    WITH {_examples_cte()}, numbered AS (
+        SELECT *, row_number() OVER (ORDER BY
+                   {_draw(_MOMENT, 'CAST("row" AS VARCHAR)', 'CAST("col" AS VARCHAR)')}) - 1 AS n,
+               count(*) OVER () AS total
+        FROM examples)
+    SELECT "at", "row", "col", inputs, labels,
+           least(n // 20, greatest(total // 20 - 1, 0)) AS batch_id
+    FROM numbered
+    """
+)
+def training_set(spark, folder):
+    """The whole way: points, patches, labels and batches."""
+    scenes = _rain_scenes(spark, folder)
+    examples, _ = training_batches(
+        scenes, _grid(scenes), _DATES, _IMAGER, patch_size=3, region=None
+    )
+    return examples.select("at", "row", "col", _text("inputs"), _text("labels"), "batch_id")
 
 
 def _named(spark, folder):

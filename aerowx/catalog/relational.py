@@ -6,10 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from .. import contracts as C
 from .. import sinks
 from ..functions import numbers, text, times
 from ..functions.geo import in_region
 from ..operators import conform, joins, lookups, quality, requests, sampling
+from ..plans.airports import airport_map, airports
 from ..sources import files
 from .registry import query, table
 
@@ -65,23 +67,77 @@ def table_profile(spark, folder):
     return quality.profile({name: table(spark, folder, name) for name in _PROFILED})
 
 
+def _airport_records(spark, folder):
+    """Customers as landed airport pages: JSON of one record each, some under the old code name."""
+    code = F.col("c_custkey").cast("string")
+    old = F.col("c_nationkey") % 2 == 0
+    record = F.struct(
+        F.when(old, code).alias("column_1"),
+        F.when(~old, code).alias("airport_code"),
+        F.col("c_name").alias("airport_name"),
+        F.concat(F.lit("town "), code).alias("city_name"),
+        F.col("c_mktsegment").alias("country_name"),
+        F.substring("c_mktsegment", 1, 2).alias("country_code"),
+        F.col("c_acctbal").alias("latitude"),
+        (F.col("c_acctbal") / 2).alias("longitude"),
+        F.col("c_nationkey").alias("world_area_code"),
+        F.when(old, F.lit("\\N")).otherwise(code).alias("city_name_geo_name_id"),
+        F.col("c_nationkey").cast("string").alias("country_name_geo_name_id"),
+        F.struct(F.col("c_acctbal").alias("lon"), F.col("c_acctbal").alias("lat")).alias("coordinates"),
+    )
+    pages = table(spark, folder, "customer").select(
+        F.to_json(F.struct(F.array(record).alias("results"))).alias("json")
+    )
+    return files.unwrap_airports(files.parse_documents(pages, "json", C.AIRPORT_PAGE))
+
+
+_AIRPORTS = """
+    airports AS (
+        SELECT CAST(c_custkey AS VARCHAR) AS airport_code, c_name AS airport_name,
+               'town ' || c_custkey AS city_name, c_mktsegment AS country_name,
+               substr(c_mktsegment, 1, 2) AS country_code, c_acctbal AS latitude,
+               c_acctbal / 2 AS longitude, c_nationkey AS world_area_code,
+               CASE WHEN c_nationkey % 2 = 0 THEN -1 ELSE CAST(c_custkey AS INTEGER) END
+                   AS city_name_geo_name_id,
+               c_nationkey AS country_name_geo_name_id
+        FROM customer)
+"""
+
+
+def _marked(table_):
+    """A missing id as -1, which no id is."""
+    return table_.na.fill(-1, ["city_name_geo_name_id"])
+
+
+@query(f"WITH {_AIRPORTS} SELECT * FROM airports")
+def project_airports(spark, folder):
+    return _marked(airports(_airport_records(spark, folder), limits=None))
+
+
 @query(
+    f"""
+    WITH {_AIRPORTS}, ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY country_name ORDER BY airport_code) AS rn,
+               CASE country_name WHEN 'BUILDING' THEN 50 WHEN 'MACHINERY' THEN 20
+                                 WHEN 'FURNITURE' THEN 10 ELSE 0 END AS most
+        FROM airports)
+    SELECT * EXCLUDE (rn, most) FROM ranked WHERE rn <= most
     """
-    SELECT CAST(c_custkey AS VARCHAR) AS airport_code, c_name AS airport_name,
-           c_mktsegment AS city_name, CAST(c_nationkey AS DOUBLE) AS latitude,
-           c_acctbal AS longitude, c_nationkey AS world_area_code
-    FROM customer
+)
+def airports_per_country(spark, folder):
+    return _marked(airports(_airport_records(spark, folder), _LIMITS))
+
+
+@query(
+    f"""
+    WITH {_AIRPORTS}
+    SELECT nullif(airport_code, '3') AS airport_code, airport_name, latitude, longitude, country_name
+    FROM airports WHERE airport_code NOT IN ('ZWI', 'TEH', 'OIA', 'TCS', 'SZL', 'PUO', 'YUB', 'YTK')
     """
 )
-def project_airports(spark, folder):
-    return table(spark, folder, "customer").select(
-        F.col("c_custkey").cast("string").alias("airport_code"),
-        F.col("c_name").alias("airport_name"),
-        F.col("c_mktsegment").alias("city_name"),
-        F.col("c_nationkey").cast("double").alias("latitude"),
-        F.col("c_acctbal").alias("longitude"),
-        F.col("c_nationkey").alias("world_area_code"),
-    )
+def airport_places(spark, folder):
+    known = airports(_airport_records(spark, folder), limits=None)
+    return airport_map(known.withColumn("airport_code", F.nullif("airport_code", F.lit("3"))))
 
 
 @query(

@@ -122,9 +122,11 @@ def write_npz(
 
     def save(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
+        from pyspark import TaskContext
 
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root)
+        attempt = TaskContext.get().taskAttemptId()
         for frame in frames:
             names = []
             for _, one in frame.iterrows():
@@ -135,9 +137,12 @@ def write_npz(
                 }
                 np.savez_compressed(data, **arrays)
                 name = f"{root}/{one['batch_id']}.npz"
-                with store.open_output_stream(name + ".part") as out:
+                part = f"{name}.{attempt}.part"
+                with store.open_output_stream(part) as out:
                     out.write(data.getvalue())
-                store.move(name + ".part", name)
+                if store.get_file_info(name).type != fs.FileType.NotFound:
+                    store.delete_file(name)
+                store.move(part, name)
                 names.append(name)
             yield pd.DataFrame({"batch_id": frame["batch_id"], "file_name": names})
 

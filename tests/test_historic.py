@@ -58,6 +58,18 @@ def test_good_and_rejected_rows_are_all_rows(spark, folder):
     assert table.count() + rejected.count() == staged.count() == 8
 
 
+def test_a_month_delivered_twice_is_appended_once(spark, folder, tmp_path_factory):
+    from aerowx.sinks import new_rows
+
+    again = tmp_path_factory.mktemp("again")
+    month(again / "ACK_2023-1.parquet", [1, 2, 31])
+    both = plan.staged_from_files(spark, folder).union(plan.staged_from_files(spark, str(again)))
+    table, _ = plan.historic(both)
+    keys = ["airport_code", "date_recorded"]
+    once = new_rows(table, table.limit(0), keys)
+    assert (table.count(), once.count()) == (9, 6)
+
+
 def test_empty_folder_gives_a_typed_empty_table(spark, tmp_path):
     table, _ = plan.historic(monthly_files(spark, str(tmp_path)))
     assert table.count() == 0
