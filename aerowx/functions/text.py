@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..contracts import MONTHLY_FILE
 from .times import col
 
 
@@ -13,6 +14,18 @@ def path_part(path: Column | str, pattern: str, group: int) -> Column:
     return F.when(col(path).rlike(pattern), F.regexp_extract(col(path), pattern, group))
 
 
+def register_path_functions(spark: SparkSession, pattern: str = MONTHLY_FILE) -> None:
+    """Offer ``path_code(path)`` and ``path_month(path)`` to SQL.
+
+    They are SQL functions, which the planner expands in place.
+    """
+    for name, group in (("path_code", 1), ("path_month", 2)):
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(path STRING) RETURNS STRING "
+            f"RETURN nullif(regexp_extract(path, r'{pattern}', {group}), '')"
+        )
+
+
 def name_parts(file_name: Column | str) -> tuple[Column, Column]:
     """``ACK_2023-1.parquet`` to ``ACK`` and ``2023-1``; a missing part is NULL."""
     c = col(file_name)

@@ -62,4 +62,4 @@ def slot(moment: Column | str, per_day: int) -> Column:
 
 def minute_label(moment: Column | str) -> Column:
     """``yyyy-MM-dd HH:mm`` for titles."""
-    return F.date_format(col(moment), "yyyy-MM-dd HH:mm")
+    return F.substring(col(moment).cast("string"), 1, 16)

@@ -29,6 +29,11 @@ def rename_all(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
+def columns_like(df: DataFrame, pattern: str, *keep: str) -> DataFrame:
+    """The columns whose whole name matches the pattern, after those to keep."""
+    return df.select(*keep, df.colRegex(f"`{pattern}`"))
+
+
 def cast_to(df: DataFrame, contract: T.StructType) -> DataFrame:
     """One projection to the contract's columns, order and types.
 

@@ -95,7 +95,9 @@ def enrich(
     A key with at least ``hot_rows`` rows of ``facts`` is spread, which takes a count
     per key first; None skips that, for facts that hold each key a few times only.
     Name in ``spread_by`` columns that tell apart the rows of a hot key; by default
-    all columns of ``facts`` do.
+    all columns of ``facts`` do. The salt is a hash of them and not of a row's place, so
+    that a task that runs again salts as before; rows alike in all columns therefore
+    stay together, and are better counted or dropped first.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):

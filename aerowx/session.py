@@ -22,6 +22,8 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # The test tables are small; at the default of 1 MB one core would do most of the work.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config(map=dict(settings or {}))
         .getOrCreate()
     )
