@@ -205,7 +205,8 @@ def one_cell_per_stratum(
     A cell travels as one number, so the choice is a hash aggregate of two numbers:
     a stratum that holds most of the map shrinks to one row in each task.
     """
-    packed = F.shiftleft(F.col("row").cast("bigint"), 32) + F.col("col")
+    low = F.col("col").cast("bigint").bitwiseAND(F.lit((1 << 32) - 1))
+    packed = F.shiftleft(F.col("row").cast("bigint"), 32).bitwiseOR(low)
     draw = seeded_hash(seed, *by, *CELL)
     chosen = (
         cells.select(*by, "stratum", packed.alias("_cell"), draw.alias("_draw"))
@@ -213,7 +214,7 @@ def one_cell_per_stratum(
         .agg(F.min_by("_cell", "_draw").alias("_cell"))
     )
     row = F.shiftright(F.col("_cell"), 32).cast("int")
-    column = F.col("_cell").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    column = F.shiftright(F.shiftleft(F.col("_cell"), 32), 32).cast("int")
     return chosen.select(*by, "stratum", row.alias("row"), column.alias("col"))
 
 

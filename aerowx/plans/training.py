@@ -12,6 +12,7 @@ from .. import contracts as C
 from ..functions.geo import in_region
 from ..functions.times import ntz, shift_hours
 from ..functions.hashing import seeded_hash
+from ..operators.joins import enrich
 from ..operators.numbering import with_batch
 from ..operators.patches import patch_cells
 from ..operators.quality import split_rejects
@@ -141,11 +142,8 @@ def training_examples(
     )
     key = [*centre, "part", "pos", "channel"]
     seen = values_at(pixels, probes, key, pick=pick)
-    heights = cells.join(
-        grid.select("row", "col", F.col("elevation").cast("double").alias("value")),
-        ["row", "col"],
-        "left",
-    ).select(
+    ground = grid.select("row", "col", F.col("elevation").cast("double").alias("value"))
+    heights = enrich(cells, ground, ["row", "col"], hot_rows=None).select(
         *centre,
         F.lit("inputs").alias("part"),
         "pos",

@@ -15,17 +15,19 @@ KEYS = ["airport_code", "date_recorded"]
 
 
 def append_landed(
-    spark: SparkSession, folder: str, table_path: str, checkpoint: str
+    spark: SparkSession, folder: str, table_path: str, rejects_path: str, checkpoint: str
 ) -> StreamingQuery:
     """Append every file not seen yet to the monthly parquet table, then stop.
 
     A repeated delivery adds nothing. Each batch compares only with the months it
-    brings, which are folders of the table. Runs again from its checkpoint.
+    brings, which are folders of the table. Rejected rows go to a folder per batch,
+    which a batch that runs again writes anew. Runs again from its checkpoint.
     """
     path = F.col("_metadata.file_path")
     staged = (
         spark.readStream.schema(C.STAGING)
         .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
         .parquet(folder)
         .select(
             "*",
@@ -34,9 +36,10 @@ def append_landed(
         )
     )
 
-    def append(batch: DataFrame, _: int) -> None:
+    def append(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        rows, _rejected = historic(batch)
+        rows, rejected = historic(batch)
+        rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch={number}")
         month = F.date_format("date_recorded", "yyyy-MM")
         incoming = rows.withColumn("year_month", month)
         existing = session.read.schema(incoming.schema).parquet(table_path)

@@ -92,8 +92,8 @@ def test_batches_have_a_least_size(spark, rows_, size, sizes):
 
 def test_one_cell_per_stratum(spark):
     cells = spark.range(3000).selectExpr(
-        "timestamp_ntz'2024-01-01 00:00:00' as at", "cast(id div 60 as int) as row",
-        "cast(id % 60 as int) as col", "if(id % 3 = 0, 7, cast(id % 5 as int)) as stratum",
+        "timestamp_ntz'2024-01-01 00:00:00' as at", "cast(id div 60 as int) - 25 as row",
+        "cast(id % 60 as int) - 30 as col", "if(id % 3 = 0, 7, cast(id % 5 as int)) as stratum",
     )
     found = raster.one_cell_per_stratum(cells, seed=4)
     assert found.groupBy("stratum").count().where("count > 1").count() == 0

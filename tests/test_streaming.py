@@ -13,19 +13,21 @@ def land(folder, name, days):
 
 
 def test_landed_files_are_appended_once(spark, tmp_path):
-    folder, table, state = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "state")
+    folder, table = tmp_path / "in", str(tmp_path / "table")
+    rejects, state = str(tmp_path / "rejects"), str(tmp_path / "state")
     folder.mkdir()
     land(folder, "ACK_2023-1.parquet", [1, 2])
     land(folder, "ATL_2023-1.parquet", [1])
-    append_landed(spark, str(folder), table, state).awaitTermination()
+    append_landed(spark, str(folder), table, rejects, state).awaitTermination()
     assert spark.read.parquet(table).count() == 3
-    # The same month again under another name, and a new one.
-    (folder / "again").mkdir()
-    land(folder, "XACK_2023-1.parquet", [3])
+    # A month landed again under another path, with a day more, and a new month.
+    (folder / "late").mkdir()
+    land(folder / "late", "ACK_2023-1.parquet", [1, 2, 3])
     land(folder, "ACK_2023-2.parquet", [1, 30])
-    append_landed(spark, str(folder), table, state).awaitTermination()
+    append_landed(spark, str(folder), table, rejects, state).awaitTermination()
     found = spark.read.parquet(table)
     assert found.count() == 5
     assert found.groupBy("airport_code", "date_recorded").count().where("count > 1").count() == 0
-    append_landed(spark, str(folder), table, state).awaitTermination()
+    append_landed(spark, str(folder), table, rejects, state).awaitTermination()
     assert spark.read.parquet(table).count() == 5
+    assert [r["Date"] for r in spark.read.parquet(rejects).collect()] == ["30"]
