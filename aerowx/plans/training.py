@@ -46,6 +46,8 @@ def scenes_for(
 
     With a table partitioned by day, name that column and only its folders are read.
     """
+    if not dates:
+        raise ValueError("no dates")
     days = set()
     for date in dates:
         day = (date + dt.timedelta(hours=first_hour)).date()
