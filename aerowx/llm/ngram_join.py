@@ -7,10 +7,12 @@ all of them before its sets are compared:
 1. One pass finds each document's set, its digest, and a sketch of token frequencies of
    fixed size. All orders put tokens of frequent sketch cells last; within a level each
    order has a hash of its own.
-2. A second pass emits the prefix tokens under every order. Documents that share one are
-   paired if they are few; if they are many, each is tied to the first of them.
-3. Pairs are intersected over the orders. Pairs and ties make candidate groups.
-4. Groups are compared in tiles: each set goes to the tiles of its group, intersections
+2. A second pass emits the prefix tokens under the first order. Documents that share one are
+   paired if they are few; if they are many, each is tied to the first of them. A third
+   does the same under the other orders for documents that have a partner so far; they are
+   known by a bitmap of fixed size, which may let others through but loses none.
+3. Pairs are intersected over the orders. Pairs make candidate groups, and so do ties.
+4. Groups are compared in tiles: each text goes to the tiles of its group, intersections
    are a matrix product, and what links within a tile is handed on as a tree.
 
 No pair within a large group is ever a row, and no link is lost: a linked pair either
@@ -20,6 +22,7 @@ shares a few-document token under every order, or a many-document token under so
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,13 +37,15 @@ from .shared import written
 from .words import mixed, shingle_set, text_words
 
 ORDERS = 3
-CELLS = 1 << 20
-_SHARE = 1 << 14
+CELLS = 1 << 21
+_SHARE = 1 << 15
+#: Bits that tell which documents have a partner.
+FILTER_BITS = 1 << 24
 #: Documents that share a token are paired up to this number, and tied beyond it.
 FEW = 32
 #: A tile holds about so many documents and shingles of each of its two sides.
-TILE_DOCS = 256
-TILE_SHINGLES = 1 << 20
+TILE_DOCS = 512
+TILE_SHINGLES = 1 << 21
 _FLUSH = 1 << 21
 _COLUMNS = 4096
 
@@ -59,7 +64,7 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
 
 def _scan(size: int):
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(CELLS, np.int64)
+        counts = np.zeros(CELLS, np.uint32)
         for batch in batches:
             n, digests = [], []
             for words in text_words(batch["text"]):
@@ -71,7 +76,7 @@ def _scan(size: int):
                 {"doc_id": batch["doc_id"].astype("Int64"), "n": n, "digest": digests, "share": None, "counts": None}
             )
         shares = [k for k in range(CELLS // _SHARE) if counts[k * _SHARE : (k + 1) * _SHARE].any()]
-        blobs = [counts[k * _SHARE : (k + 1) * _SHARE].astype("<u4").tobytes() for k in shares]
+        blobs = [zlib.compress(counts[k * _SHARE : (k + 1) * _SHARE].tobytes(), 1) for k in shares]
         none = [None] * len(shares)
         yield pd.DataFrame(
             {"doc_id": pd.array(none, "Int64"), "n": pd.array(none, "Int64"), "digest": none, "share": shares, "counts": blobs}
@@ -84,9 +89,9 @@ def _sum_shares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for share, blob in zip(batch["share"], batch["counts"]):
-            part = np.frombuffer(blob, "<u4").astype(np.int64)
+            part = np.frombuffer(zlib.decompress(blob), np.uint32).astype(np.int64)
             sums[share] = sums[share] + part if share in sums else part
-    levels = [np.log2(np.maximum(x, 1)).astype(np.uint8).tobytes() for x in sums.values()]
+    levels = [(4 * np.log2(np.maximum(x, 1))).astype(np.uint8).tobytes() for x in sums.values()]
     yield pd.DataFrame({"share": list(sums), "levels": levels})
 
 
@@ -108,30 +113,42 @@ def _order_key(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray
     return high | (mixed(tokens, 100 + order) >> np.uint64(8))
 
 
-def _combined(part: pd.DataFrame) -> pd.DataFrame:
+def _combined(token: np.ndarray, node: np.ndarray, n: np.ndarray) -> pd.DataFrame:
     """Distinct rows; within one task a token of many documents keeps the first and ties the rest."""
-    part = part.sort_values(["ord", "token", "node"], ignore_index=True)
-    keys = [part[c].to_numpy() for c in ("ord", "token")]
-    part = part[np.isin(np.arange(len(part)), run_starts(*keys, part["node"].to_numpy()))].reset_index(drop=True)
-    starts = run_starts(part["ord"].to_numpy(), part["token"].to_numpy())
-    lengths = np.diff(np.append(starts, len(part)))
-    first = np.repeat(starts, lengths)
-    many = np.repeat(lengths > FEW, lengths)
-    part["tie"] = np.where(many, part["node"].to_numpy()[first], part["node"])
-    part["many"] = many
-    return part
-
-
-def _prefixes(size: int, percent: int, levels):
+    by_token = np.lexsort((node, token))
+    token, node, n = token[by_token], node[by_token], n[by_token]
+    once = run_starts(token, node)
+    token, node, n = token[once], node[once], n[once]
+    starts = run_starts(token)
+    lengths = np.diff(np.append(starts, len(token)))
+    tie = pd.array(np.repeat(node[starts], lengths), "Int64")
+    tie[np.repeat(lengths <= FEW, lengths)] = pd.NA
+    return pd.DataFrame({"token": token, "node": node, "n": n, "tie": tie})
+
+
+def _bit(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte and bit of a node in the bitmap."""
+    at = mixed(nodes.view(np.uint64), 13) % np.uint64(FILTER_BITS)
+    return (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
+
+
+def _marked(bits: np.ndarray, digest: bytes) -> bool:
+    byte, bit = _bit(np.array([_node(digest)]))
+    return bool(bits[byte[0]] & bit[0])
+
+
+def _prefixes(size: int, percent: int, levels, orders: range, partnered=None):
+    """Prefix tokens under the given orders; the order is in a token's low bits."""
+
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = levels.value
         held: list[tuple] = []
         count = 0
 
         def flush() -> pd.DataFrame:
-            cols = {c: np.concatenate([h[k] for h in held]) for k, c in enumerate(("ord", "token", "node", "n"))}
+            parts = [np.concatenate([h[k] for h in held]) for k in range(3)]
             held.clear()
-            return _combined(pd.DataFrame(cols))
+            return _combined(*parts)
 
         for batch in batches:
             for words in text_words(batch["text"]):
@@ -139,13 +156,15 @@ def _prefixes(size: int, percent: int, levels):
                 n = len(tokens)
                 if n == 0:
                     continue
-                p, node = prefix_length(n, percent), _node(_digest(tokens))
-                for order in range(ORDERS):
+                digest = _digest(tokens)
+                if partnered is not None and not _marked(partnered.value, digest):
+                    continue
+                p, node = prefix_length(n, percent), np.array([_node(digest)])
+                for order in orders:
                     key = _order_key(tokens, table, order)
                     chosen = tokens[np.argpartition(key, p - 1)[:p]] if p < n else tokens
-                    held.append(
-                        (np.full(p, order, np.int8), chosen.view(np.int64), np.full(p, node), np.full(p, n, np.int32))
-                    )
+                    named = (chosen & ~np.uint64(3)) | np.uint64(order)
+                    held.append((named.view(np.int64), np.repeat(node, p), np.full(p, n, np.int32)))
                     count += p
                 if count >= _FLUSH:
                     yield flush()
@@ -157,16 +176,21 @@ def _prefixes(size: int, percent: int, levels):
 
 
 def _pair_up(percent: int):
+    """(order, a, b) of documents that share a token of few, and (-1, a, b) for ties."""
+
     def paired(frame: pd.DataFrame) -> pd.DataFrame:
-        order, token, node, tie, n, many = (frame[c].to_numpy() for c in ("ord", "token", "node", "tie", "n", "many"))
-        starts = run_starts(order, token)
+        token, node, n = (frame[c].to_numpy() for c in ("token", "node", "n"))
+        many = frame["tie"].notna().to_numpy()
+        starts = run_starts(token)
         lengths = np.diff(np.append(starts, len(frame)))
         run = np.repeat(np.arange(len(starts)), lengths)
         crowd = (np.logical_or.reduceat(many, starts) | (lengths > FEW))[run]
+        ties = frame["tie"].to_numpy(np.int64, na_value=0)[many]
         out = [
             _pairs(np.full(crowd.sum(), -1, np.int8), node[crowd], node[starts][run][crowd]),
-            _pairs(np.full(many.sum(), -1, np.int8), node[many], tie[many]),
+            _pairs(np.full(many.sum(), -1, np.int8), node[many], ties),
         ]
+        order = (token & 3).astype(np.int8)
         for apart in range(1, min(FEW, int(lengths.max()))):
             same = np.flatnonzero((run[apart:] == run[:-apart]) & ~crowd[apart:])
             low, high = np.minimum(n[same], n[same + apart]), np.maximum(n[same], n[same + apart])
@@ -179,12 +203,13 @@ def _pair_up(percent: int):
         for batch in batches:
             if len(batch) == 0:
                 continue
+            batch = batch.assign(tie=batch["tie"].astype("Int64"))
             frame = batch if carry is None else pd.concat([carry, batch], ignore_index=True)
-            cut = run_starts(frame["ord"].to_numpy(), frame["token"].to_numpy())[-1]
+            cut = run_starts(frame["token"].to_numpy())[-1]
             carry = frame.iloc[cut:]
             if len(carry) > 4 * FEW:
                 # A crowded token: its rows are tied now, and only the first is carried on.
-                carry = carry.assign(many=True)
+                carry = carry.assign(tie=carry["tie"].fillna(int(carry["node"].iloc[0])))
                 yield paired(carry)
                 carry = carry.iloc[:1]
             if cut:
@@ -201,19 +226,6 @@ def _pairs(order: np.ndarray, x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"ord": order[apart], "a": high[apart], "b": low[apart]})
 
 
-def _sets(size: int):
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            blobs = []
-            for words, wanted in zip(text_words(batch["text"]), batch["digest"]):
-                tokens = shingle_set(words, size)
-                blobs.append(tokens.tobytes() if _digest(tokens) == bytes(wanted) else None)
-            out = batch.drop(columns=["text", "digest"]).assign(tokens=blobs)
-            yield out[out["tokens"].notna()]
-
-    return sets
-
-
 def _common(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections, by a product over the tokens that more than one set has."""
     m = len(sets)
@@ -266,49 +278,107 @@ def tree(links: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _verify(percent: int):
-    keys = ["grp", "one", "two"]
+def _verify(size: int, percent: int):
+    keys = ["family", "grp", "one", "two"]
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_runs(batches, keys):
             ids = frame["doc_id"].to_numpy()
-            blobs = frame["tokens"].to_numpy()
             edges: list[tuple[int, int]] = []
             for a, b in slices(frame, keys):
                 if b - a > 1:
-                    sets = [np.frombuffer(x, np.uint64) for x in blobs[a:b]]
-                    edges += tree(linked(sets, percent), ids[a:b])
+                    sets = [shingle_set(w, size) for w in text_words(frame["text"].iloc[a:b])]
+                    wanted = frame["digest"].iloc[a:b]
+                    same = np.array([_digest(s) == bytes(d) for s, d in zip(sets, wanted)])
+                    sets = [s for s, keep in zip(sets, same) if keep]
+                    if len(sets) > 1:
+                        edges += tree(linked(sets, percent), ids[a:b][same])
             yield pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
     return verify
 
 
-def _candidates(docs: DataFrame, levels, size: int, percent: int) -> DataFrame:
-    """(a, b) of nodes: pairs that pass every order, and ties of crowded tokens."""
-    prefixes = docs.select("text").mapInPandas(
-        _prefixes(size, percent, levels), "ord byte, token long, node long, n int, tie long, many boolean"
-    )
-    dealt = prefixes.repartition("ord", "token").sortWithinPartitions("ord", "token", "node")
-    found = dealt.mapInPandas(_pair_up(percent), "ord byte, a long, b long")
-    bits = F.when(F.col("ord") < 0, F.lit((1 << ORDERS) - 1)).otherwise(F.expr("shiftleft(1, cast(ord as int))"))
-    passed = found.groupBy("a", "b").agg(F.bit_or(bits).alias("orders"))
-    return passed.where(F.col("orders") == (1 << ORDERS) - 1).select("a", "b")
+def _found(docs: DataFrame, emit, percent: int) -> DataFrame:
+    prefixes = docs.select("text").mapInPandas(emit, "token long, node long, n int, tie long")
+    dealt = prefixes.repartition("token").sortWithinPartitions("token", "node")
+    return durable(dealt.mapInPandas(_pair_up(percent), "ord byte, a long, b long").distinct())
+
+
+def _mark_bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for batch in batches:
+        np.bitwise_or.at(bits, *_bit(batch["node"].to_numpy()))
+    shares = [k for k in range(len(bits) // _SHARE) if bits[k * _SHARE : (k + 1) * _SHARE].any()]
+    parts = [zlib.compress(bits[k * _SHARE : (k + 1) * _SHARE].tobytes(), 1) for k in shares]
+    yield pd.DataFrame({"share": pd.Series(shares, dtype="int64"), "bits": pd.Series(parts, dtype=object)})
 
 
-def _tiles(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The set of every wanted document once for each tile of its group."""
-    sizes = wanted.groupBy("grp").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("tokens"))
+def _either(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for share, blob in zip(batch["share"], batch["bits"]):
+            part = np.frombuffer(zlib.decompress(blob), np.uint8)
+            sums[share] = sums[share] | part if share in sums else part
+    parts = [x.tobytes() for x in sums.values()]
+    yield pd.DataFrame({"share": pd.Series(list(sums), dtype="int64"), "bits": pd.Series(parts, dtype=object)})
+
+
+def _bitmap(nodes: DataFrame):
+    """A broadcast bitmap of nodes: FILTER_BITS bits, whatever the input."""
+    marked = nodes.mapInPandas(_mark_bits, "share long, bits binary").repartition(8, "share")
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for share, blob in marked.mapInPandas(_either, "share long, bits binary").collect():
+        bits[share * _SHARE : (share + 1) * _SHARE] = np.frombuffer(blob, np.uint8)
+    return nodes.sparkSession.sparkContext.broadcast(bits)
+
+
+def _groups(docs: DataFrame, levels, size: int, percent: int) -> DataFrame:
+    """(node, family, grp): groups of pairs that pass every order, and groups of ties."""
+    first = _found(docs, _prefixes(size, percent, levels, range(1)), percent)
+    ends = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    others = _found(docs, _prefixes(size, percent, levels, range(1, ORDERS), _bitmap(ends)), percent)
+    both = first.unionByName(others)
+    passed = both.where("ord >= 0").groupBy("a", "b").agg(F.count_distinct("ord").alias("orders"))
+    pairs = components(passed.where(F.col("orders") == ORDERS).select("a", "b"))
+    ties = components(both.where("ord < 0").select("a", "b"))
+    named = [
+        g.select("node", F.lit(k).alias("family"), F.col("component").alias("grp")) for k, g in enumerate((pairs, ties))
+    ]
+    return durable(named[0].unionByName(named[1]))
+
+
+def _of_nodes(size: int, nodes):
+    def of_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = []
+            for words in text_words(batch["text"]):
+                tokens = shingle_set(words, size)
+                keep.append(len(tokens) > 0 and _marked(nodes.value, _digest(tokens)))
+            yield batch[np.array(keep, bool)]
+
+    return of_nodes
+
+
+def _tiles(docs: DataFrame, wanted: DataFrame, nodes, size: int) -> DataFrame:
+    """The text of every wanted document once for each tile of its groups."""
+    sizes = wanted.groupBy("family", "grp").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("tokens"))
     chunks = F.greatest(F.ceil(F.col("docs") / TILE_DOCS), F.ceil(F.col("tokens") / TILE_SHINGLES)).cast("int")
-    placed = durable(wanted.join(sizes.select("grp", chunks.alias("chunks")), "grp"))
-    sets = docs.join(placed.select("doc_id", "digest", "grp", "chunks"), "doc_id").mapInPandas(
-        _sets(size), "doc_id long, grp long, chunks int, tokens binary"
-    )
+    placed = durable(wanted.join(sizes.select("family", "grp", chunks.alias("chunks")), ["family", "grp"]))
+    texts = docs.where("doc_id IS NOT NULL").mapInPandas(_of_nodes(size, nodes), "doc_id long, text string")
     own = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    spread = sets.withColumn("own", own).withColumn("other", other)
-    return spread.select(
-        "doc_id", "tokens", "grp", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two")
+    spread = texts.join(placed, "doc_id").withColumn("own", own).withColumn("other", other)
+    keys = ["family", "grp", "one", "two"]
+    tiles = spread.select(
+        "doc_id",
+        "text",
+        "digest",
+        "family",
+        "grp",
+        F.least("own", "other").alias("one"),
+        F.greatest("own", "other").alias("two"),
     )
+    return tiles.repartition(*keys).sortWithinPartitions(*keys)
 
 
 def ngram_join(
@@ -336,11 +406,11 @@ def ngram_join(
     classes = durable(
         members.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
     )
-    groups = components(_candidates(rows, levels, size, percent))
+    groups = _groups(rows, levels, size, percent)
     wanted = classes.where("rep IS NOT NULL").withColumn("node", _node_column(F.col("digest"))).join(groups, "node")
-    wanted = wanted.select(F.col("rep").alias("doc_id"), "digest", "n", F.col("component").alias("grp"))
-    tiles = _tiles(rows, wanted, size).repartition("grp", "one", "two").sortWithinPartitions("grp", "one", "two")
-    labels = components(tiles.mapInPandas(_verify(percent), "a long, b long"))
+    wanted = wanted.select(F.col("rep").alias("doc_id"), "digest", "n", "family", "grp")
+    tiles = _tiles(rows, wanted, _bitmap(groups.select("node").distinct()), size)
+    labels = components(tiles.mapInPandas(_verify(size, percent), "a long, b long"))
     settled = durable(
         classes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
             "digest", F.coalesce("component", "rep").alias("component")
