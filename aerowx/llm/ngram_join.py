@@ -37,7 +37,7 @@ from .shared import written
 from .words import mixed, shingle_set, text_words
 
 ORDERS = 3
-CELLS = 1 << 21
+CELLS = 1 << 22
 _SHARE = 1 << 15
 #: Bits that tell which documents have a partner.
 FILTER_BITS = 1 << 24
@@ -46,7 +46,7 @@ FEW = 32
 #: A tile holds about so many documents and shingles of each of its two sides.
 TILE_DOCS = 512
 TILE_SHINGLES = 1 << 21
-_FLUSH = 1 << 21
+_FLUSH = 1 << 20
 _COLUMNS = 4096
 
 
@@ -369,7 +369,9 @@ def _tiles(docs: DataFrame, wanted: DataFrame, nodes, size: int) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     spread = texts.join(placed, "doc_id").withColumn("own", own).withColumn("other", other)
     keys = ["family", "grp", "one", "two"]
-    tiles = spread.select(
+    # A tile of two parts compares each part with itself too, so one part alone needs a tile
+    # only where it is the whole group.
+    tiles = spread.where("chunks = 1 OR own <> other").select(
         "doc_id",
         "text",
         "digest",
