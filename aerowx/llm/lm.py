@@ -11,8 +11,8 @@ so an arc is p(w|h), and the failure arc of h weighs m / (c(h) + m). Each order
 
 The automaton grows with the corpus and is never gathered. Texts are dealt into blocks of
 bounded size; each block sends the n-grams it holds, with its own counts, to the shuffle,
-gets back the total of those that other blocks have too, and so has just the states and
-arcs its texts can reach. It then walks every text from left to right once. The state after
+gets back what other blocks have counted of them, and so has just the states and arcs its
+texts can reach. It then walks every text from left to right once. The state after
 a word depends on the last words only, so all places of a block are walked together.
 """
 
@@ -32,8 +32,8 @@ from .words import grams, mixed, text_words
 
 ORDER = 2
 #: Weight of the shorter history, in counts.
-BACKOFF = 20.0
-BLOCK_BYTES = 12 << 20
+BACKOFF = 50.0
+BLOCK_BYTES = 8 << 20
 END = mixed(np.array([1], np.uint64), 21)[0]
 START = mixed(np.array([2], np.uint64), 22)[0]
 
@@ -71,16 +71,37 @@ def _block_keys(tokens, place, train, order: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Distinct training tokens of a task; with key NULL: training texts, their tokens."""
+    """Distinct training tokens of a batch; with key NULL, how many tokens it has."""
     for batch in batches:
         tokens, _, _, train = _sequence(batch["text"], batch["train"])
         words = tokens[train & (tokens != START)]
-        texts = int(batch["train"].sum())
-        stats = pd.DataFrame({"key": pd.array([None], "Int64"), "texts": [texts], "tokens": [len(words)]})
-        found = pd.DataFrame({"key": pd.array(np.unique(words).view(np.int64), "Int64"), "texts": 0, "tokens": 0})
+        stats = pd.DataFrame({"key": pd.array([None], "Int64"), "tokens": [len(words)]})
+        found = pd.DataFrame({"key": pd.array(np.unique(words).view(np.int64), "Int64"), "tokens": 0})
         yield pd.concat([stats, found], ignore_index=True)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers with their first bytes together, then their second and so on.
+
+    Gaps of sorted keys and counts have empty high bytes, which the shuffle's compression
+    then finds in long runs.
+    """
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _numbers(planes: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(planes, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
+
+
+def _by_share(keys: np.ndarray, shares: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of sorted keys in the order of their shares; each share's number and start."""
+    share = ((keys >> np.uint64(8)) % np.uint64(shares)).astype(np.int64)
+    places = np.argsort(share, kind="stable")
+    starts = run_starts(share[places])
+    return places, share[places][starts], np.append(starts, len(keys))
+
+
 def _send(order: int, shares: int):
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_runs(batches, ["block"]):
@@ -88,17 +109,15 @@ def _send(order: int, shares: int):
                 part = frame.iloc[a:b]
                 tokens, _, place, train = _sequence(part["text"], part["train"])
                 keys, counts = _block_keys(tokens, place, train, order)
-                share = ((keys >> np.uint64(8)) % np.uint64(shares)).astype(np.int64)
-                by_share = np.argsort(share, kind="stable")
-                keys, counts, share = keys[by_share], counts[by_share].astype("<u4"), share[by_share]
-                starts = run_starts(share)
-                ends = np.append(starts[1:], len(share))
+                places, share, cuts = _by_share(keys, shares)
+                keys, counts = keys[places], counts[places].astype(np.uint32)
+                ends = list(zip(cuts[:-1], cuts[1:]))
                 yield pd.DataFrame(
                     {
-                        "share": share[starts],
+                        "share": share,
                         "block": part["block"].iloc[0],
-                        "keys": [keys[x:y].tobytes() for x, y in zip(starts, ends)],
-                        "counts": [counts[x:y].tobytes() for x, y in zip(starts, ends)],
+                        "keys": [_planes(np.diff(keys[x:y], prepend=np.uint64(0))) for x, y in ends],
+                        "counts": [_planes(counts[x:y]) for x, y in ends],
                     }
                 )
 
@@ -106,26 +125,26 @@ def _send(order: int, shares: int):
 
 
 def _total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """To each block, the totals that differ from its own counts."""
+    """To each block, what others have counted of the keys it sent, in the order it sent them."""
     for frame in whole_runs(batches, ["share"]):
         for a, b in slices(frame, ["share"]):
             part = frame.iloc[a:b]
-            keys = [np.frombuffer(x, np.uint64) for x in part["keys"]]
-            counts = [np.frombuffer(x, "<u4") for x in part["counts"]]
+            keys = [np.cumsum(_numbers(x, np.uint64), dtype=np.uint64) for x in part["keys"]]
+            counts = [_numbers(x, np.uint32) for x in part["counts"]]
+            cuts = np.cumsum([0] + [len(k) for k in keys])
             flat, own = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
             by_key = np.argsort(flat, kind="stable")
             starts = run_starts(flat[by_key])
             sums = np.add.reduceat(own[by_key], starts)
-            total = np.empty(len(flat), np.int64)
-            total[by_key] = np.repeat(sums, np.diff(np.append(starts, len(flat))))
-            new = total != own
-            cuts = np.cumsum([0] + [len(k) for k in keys])
+            others = np.empty(len(flat), np.int64)
+            others[by_key] = np.repeat(sums, np.diff(np.append(starts, len(flat))))
+            others -= own
             rows = [
-                (block, flat[x:y][new[x:y]].tobytes(), total[x:y][new[x:y]].tobytes())
-                for block, x, y in zip(part["block"], cuts[:-1], cuts[1:])
-                if new[x:y].any()
+                (block, share, _planes(others[x:y]))
+                for block, share, x, y in zip(part["block"], part["share"], cuts[:-1], cuts[1:])
+                if others[x:y].any()
             ]
-            yield pd.DataFrame(rows, columns=["block", "keys", "totals"])
+            yield pd.DataFrame(rows, columns=["block", "share", "others"])
 
 
 def walk(tokens, place, lookup, order: int, total_tokens: int, distinct: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
@@ -144,16 +163,16 @@ def walk(tokens, place, lookup, order: int, total_tokens: int, distinct: int, ba
     return np.log10(p), counts
 
 
-def _score(order: int, backoff: float, texts: int, total_tokens: int, distinct: int):
+def _score(order: int, shares: int, backoff: float, total_tokens: int, distinct: int):
     def score(key, docs: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
         if len(docs) == 0:
             return pd.DataFrame({c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")})
         tokens, text, place, train = _sequence(docs["text"], docs["train"])
         keys, counts = _block_keys(tokens, place, train, order)
-        if len(back):
-            others = np.concatenate([np.frombuffer(x, np.uint64) for x in back["keys"]])
-            totals = np.concatenate([np.frombuffer(x, np.int64) for x in back["totals"]])
-            counts[np.searchsorted(keys, others)] = totals
+        places, share, cuts = _by_share(keys, shares)
+        at = {int(k): places[x:y] for k, x, y in zip(share, cuts[:-1], cuts[1:])}
+        for k, others in zip(back["share"], back["others"]):
+            counts[at[k]] += _numbers(others, np.int64)
 
         def lookup(wanted: np.ndarray) -> np.ndarray:
             return counts[np.searchsorted(keys, wanted)].astype(np.float64)
@@ -202,9 +221,9 @@ def lm_score(
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
     rows = rows.withColumn("held_out", fold("doc_id", folds) == held_fold).withColumn("train", ~F.col("held_out"))
-    words = rows.select("text", "train").mapInPandas(_vocabulary, "key long, texts long, tokens long")
-    summed = words.groupBy("key").agg(F.sum("texts").alias("texts"), F.sum("tokens").alias("tokens"))
-    known, texts, total = summed.agg(F.count("key"), F.sum("texts"), F.sum("tokens")).first()
+    words = rows.select("text", "train").mapInPandas(_vocabulary, "key long, tokens long")
+    summed = words.groupBy("key").agg(F.sum("tokens").alias("tokens"))
+    known, total = summed.agg(F.count("key"), F.sum("tokens")).first()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     place = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int")
@@ -215,13 +234,13 @@ def lm_score(
     back = (
         sent.repartition(blocks, "share")
         .sortWithinPartitions("share")
-        .mapInPandas(_total, "block int, keys binary, totals binary")
+        .mapInPandas(_total, "block int, share long, others binary")
     )
     scored = (
         dealt.groupBy("block")
         .cogroup(back.groupBy("block"))
         .applyInPandas(
-            _score(order, backoff, texts or 0, total or 0, known or 0),
+            _score(order, blocks, backoff, total or 0, known or 0),
             "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
         )
     )
