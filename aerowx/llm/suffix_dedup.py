@@ -3,10 +3,9 @@
 Suffixes start only where a minimiser stands: the smallest hash of ``k`` words in a window
 of ``min_words`` words. Equal passages of that length have a minimiser in common, whatever
 surrounds them. Suffixes that share their first ``k`` words with another document are kept
-with the words around them, sorted, and compared with their neighbours; the longest common
-run with a neighbour to the right, and with one in the order of the reversed left sides,
-bounds how far a match can reach. Where that is enough, the match is extended to the left
-and to the right word by word, which settles each window of ``min_words`` words around it.
+with the words around them, sorted, and compared with their neighbours: the longest run in
+common with a neighbour bounds how far a match reaches to the right. Up to there it is
+extended to the left word by word, which settles each window of ``min_words`` words.
 
 Surroundings that are equal are one row with the smallest and largest document that has
 them, so a passage with very many copies costs no more than one with two.
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .runs import run_starts, slices, whole_runs
+from .runs import run_starts, whole_runs
 from .shared import written
 from .words import grams, hash_words, mixed, text_words
 
@@ -69,13 +68,21 @@ def _suffixes(min_words: int, gram: int):
     return suffixes
 
 
+_POWERS = np.cumprod(np.full(256, 0x9FB21C651E98DF25, np.uint64), dtype=np.uint64)
+_INVERSE = np.cumprod(np.full(256, pow(0x9FB21C651E98DF25, -1, 1 << 64), np.uint64), dtype=np.uint64)
+
+
 def _surroundings(min_words: int, gram: int):
-    """The words around each kept suffix as 32-bit numbers, 0 beyond the text's ends."""
+    """The words around each kept suffix as 32-bit numbers, 0 beyond the text's ends.
+
+    First the suffix itself to the right, then what precedes it, read backwards: in the order
+    of these rows, neighbours share the most words to the right.
+    """
     side = min_words - gram
 
     def surroundings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows: list[tuple] = []
+            tables, found, ids, at = [], [], [], []
             for doc, kept, words in zip(batch["doc_id"], batch["kept"], text_words(batch["text"])):
                 places = np.array([k["place"] for k in kept], np.int64)
                 wanted = np.array([k["gram"] for k in kept], np.int64)
@@ -87,75 +94,71 @@ def _surroundings(min_words: int, gram: int):
                 if not len(places):
                     continue
                 small = np.maximum((mixed(words, 11) >> np.uint64(32)).astype(np.uint32), 1)
-                padded = np.pad(small, side)
-                table = np.lib.stride_tricks.sliding_window_view(padded, gram + 2 * side)[places]
-                digest = mixed(grams_of_rows(table), 5).view(np.int64)
-                rows += zip(
-                    wanted.tolist(), digest.tolist(), [doc] * len(places), places.tolist(), [r.tobytes() for r in table]
-                )
-            yield pd.DataFrame(rows, columns=["gram", "around", "doc_id", "place", "words"])
+                around = np.lib.stride_tricks.sliding_window_view(np.pad(small, side), min_words + side)[places]
+                tables.append(np.concatenate((around[:, side:], around[:, :side][:, ::-1]), axis=1))
+                found.append(wanted)
+                ids.append(np.full(len(places), doc, np.int64))
+                at.append(places.astype(np.int32))
+            if not tables:
+                continue
+            table = np.concatenate(tables)
+            digest = mixed((table * _POWERS[: table.shape[1]]).sum(axis=1, dtype=np.uint64), 5)
+            yield pd.DataFrame(
+                {
+                    "gram": np.concatenate(found),
+                    "around": digest.view(np.int64),
+                    "doc_id": np.concatenate(ids),
+                    "place": np.concatenate(at),
+                    "words": [r.tobytes() for r in table],
+                }
+            )
 
     return surroundings
 
 
-def grams_of_rows(table: np.ndarray) -> np.ndarray:
-    """One hash for each row of a table of word numbers."""
-    out = np.full(len(table), table.shape[1], np.uint64)
-    for column in table.T:
-        out = (out + column) * np.uint64(0x9FB21C651E98DF25)
-        out ^= out >> np.uint64(32)
-    return out
-
-
-def _common_run(table: np.ndarray) -> np.ndarray:
-    """For each row, the longest run of equal leading words it shares with another row.
-
-    Rows are sorted; the longest is always found with a neighbour. 0 is beyond the text.
-    """
-    order = np.lexsort(table.T[::-1])
-    ranked = table[order]
-    same = (ranked[1:] == ranked[:-1]) & (ranked[1:] != 0)
-    length = np.where(same.all(axis=1), table.shape[1], same.argmin(axis=1))
-    best = np.zeros(len(table), np.int64)
-    best[order[1:]] = length
-    best[order[:-1]] = np.maximum(best[order[:-1]], length)
-    return best
-
-
 def repeated_windows(
-    table: np.ndarray, low: np.ndarray, high: np.ndarray, min_words: int, gram: int
+    grams_: np.ndarray, table: np.ndarray, low: np.ndarray, high: np.ndarray, min_words: int, gram: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which windows around equal grams occur in two documents, as bits from the left.
+    """Which windows around sorted suffixes occur in two documents, as bits from the left.
 
     ``low`` and ``high`` are the smallest and largest document that has each row. Also
     gives the smallest and largest document over the repeated windows of each row.
     """
     side, starts = min_words - gram, min_words - gram + 1
     many = low != high
-    reach = np.full(len(table), min_words)
-    if len(table) > 1:
-        right = _common_run(table[:, side:])
-        left = _common_run(table[:, :side][:, ::-1]) if side else np.zeros(len(table), np.int64)
-        reach = left + right
-    live = np.flatnonzero(many | ((reach >= min_words) & (len(table) > 1)))
+    # The longest run shared to the right is shared with a neighbour.
+    right = table[:, :min_words]
+    equal = (right[1:] == right[:-1]) & (right[1:] != 0)
+    common = np.where(equal.all(axis=1), min_words, equal.argmin(axis=1)) * (grams_[1:] == grams_[:-1])
+    reach = np.maximum(np.append(common, 0), np.append(0, common))
+    # A window ends some words to the right; to the left the match is extended word by word,
+    # all starts at once, by one running sum over the row.
+    row = np.concatenate((table[:, min_words:][:, ::-1], right), axis=1).astype(np.uint64)
+    total = np.concatenate(
+        (np.zeros((len(row), 1), np.uint64), np.cumsum(row * _POWERS[: row.shape[1]], axis=1, dtype=np.uint64)), axis=1
+    )
+    keys = (total[:, min_words:] - total[:, :starts]) * _INVERSE[:starts]
+    ends = np.arange(starts) + gram
+    whole = (row[:, :starts] != 0) & (row[:, min_words - 1 :] != 0)
+    live = whole & (many[:, None] | (ends <= reach[:, None]))
+    at, start = np.nonzero(live)
     bits = np.zeros(len(table), np.int64)
     first, last = low.copy(), high.copy()
-    if len(live):
-        part = table[live]
-        windows = np.lib.stride_tricks.sliding_window_view(part, min_words, axis=1)
-        whole = (windows != 0).all(axis=2)
-        keys = np.stack([grams_of_rows(part[:, s : s + min_words]) for s in range(starts)], axis=1)
-        flat = (keys + np.arange(starts, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).ravel()
-        _, place = np.unique(flat, return_inverse=True)
-        n = place.max() + 1
-        least, most = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
-        np.minimum.at(least, place, np.repeat(low[live], starts))
-        np.maximum.at(most, place, np.repeat(high[live], starts))
-        least, most = least[place].reshape(keys.shape), most[place].reshape(keys.shape)
-        repeated = whole & (least != most)
-        bits[live] = (repeated.astype(np.int64) << np.arange(starts)).sum(axis=1)
-        first[live] = np.where(repeated, least, low[live][:, None]).min(axis=1)
-        last[live] = np.where(repeated, most, high[live][:, None]).max(axis=1)
+    if len(at):
+        key = mixed(keys[at, start] + np.uint64(0x9E3779B97F4A7C15) * start.astype(np.uint64)) ^ mixed(
+            grams_[at].view(np.uint64), 17
+        )
+        order = np.argsort(key, kind="stable")
+        cuts = run_starts(key[order])
+        sizes = np.diff(np.append(cuts, len(order)))
+        least, most = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        least[order] = np.repeat(np.minimum.reduceat(low[at][order], cuts), sizes)
+        most[order] = np.repeat(np.maximum.reduceat(high[at][order], cuts), sizes)
+        hit = least != most
+        at, start, least, most = at[hit], start[hit], least[hit], most[hit]
+        np.bitwise_or.at(bits, at, np.int64(1) << start.astype(np.int64))
+        np.minimum.at(first, at, least)
+        np.maximum.at(last, at, most)
     return bits, first, last
 
 
@@ -165,10 +168,7 @@ def _extend(min_words: int, gram: int):
         for frame in whole_runs(batches, ["gram"]):
             low, high = frame["low"].to_numpy(), frame["high"].to_numpy()
             table = np.frombuffer(b"".join(frame["words"]), np.uint32).reshape(len(frame), width)
-            bits, first, last = (np.empty(len(frame), np.int64) for _ in range(3))
-            for a, b in slices(frame, ["gram"]):
-                found = repeated_windows(table[a:b], low[a:b], high[a:b], min_words, gram)
-                bits[a:b], first[a:b], last[a:b] = found
+            bits, first, last = repeated_windows(frame["gram"].to_numpy(), table, low, high, min_words, gram)
             out = frame[["gram", "around"]].assign(bits=bits, first=first, last=last)
             yield out[out["bits"] != 0]
 
