@@ -231,7 +231,6 @@ FORECAST_LOOKUP_COLUMNS = (
     "weather_description",
 )
 AIRPORT_MAP_COLUMNS = ("airport_code", "airport_name", "latitude", "longitude", "country_name")
-LOOKUP_HOURS = ("00:00", "03:00", "06:00", "09:00", "12:00", "15:00", "18:00", "21:00")
 
 # Airports whose published coordinates are wrong (fixed values).
 EXCLUDED_CODES = ("ZWI", "TEH", "OIA", "TCS", "SZL", "PUO", "YUB", "YTK")
@@ -247,30 +246,16 @@ COUNTRY_LIMITS = {
     "Colombia": 20,
 }
 
-# Airport codes known to have a history page (fixed values).
-WORKING_CODES = tuple(
-    """
-    OMA JHM IML KMO ACK SZL EMP FRI TCS PAO POE OTM WNA SPS KKB
-    ATL DAL ABI MEI MRF DRE FDY LCH LRJ GED BKD FSI DAG JOT MDJ
-    SPZ SLK BIH WAL ELP AIK OEO SCM BQV JCT YUB YQB YKX YSU YSE
-    YRL YRB ILF YPW ZGI YFR YXR YYL YYD AFA RHD JNI EQS PUD ROS
-    JSM USH JUJ LGS COC NEC LCM UAQ SDE VDC TBT CAC MEA MNX ERM
-    PAV AQA PMG RIA TSL TGZ QRO JAL GYM CVM LOV LAP BJX PPE SLP
-    VER MZT ACN PCL JAU AYP RIM BLP ILQ TCQ TRU CHM JUL VGZ
-    GPI LPD PUU PSO PVA PCR BAQ APO
-    """.split()
-)
-
 # History pages (fixed values): address, error text, and the tables that hold the month.
 HISTORY_URL = "https://www.wunderground.com/history/monthly/%s/date/%d-%d"
 MISSING_PAGE_TEXT = "Error 404: Page Not Found"
 FIRST_HISTORY_TABLE = 3
 LAST_HISTORY_TABLE = 9
 
-# Path of one monthly file: code, then year-month.
-MONTHLY_FILE = r"([A-Z]+)_([0-9]{4}-[0-9]+)\.parquet$"
+# Path of one monthly file: code, then year-month, as the whole name (fixed values).
+MONTHLY_FILE = r"(?:^|[/\\])([A-Z]+)_([0-9]{4}-[0-9]+)\.parquet$"
 
-# Training-set defaults.
+# Training-set defaults (fixed values).
 NUM_DATES = 15
 NUM_BINS = 10
 MAX_REQUESTS = 10
@@ -278,13 +263,11 @@ MIN_BATCH_SIZE = 20
 PATCH_SIZE = 5
 MAX_PRECIPITATION = 30
 MAX_ELEVATION = 6000
-CELL_METRES = 10000
 INPUT_HOURS = (-4, -2, 0)
 LABEL_HOURS = (2, 6)
 LOOKBACK_HOURS = 24
 PRECIPITATION_BAND = "precipitationCal"
 IMAGER_BANDS = "CMI_C.*"
-ELEVATION_BAND = "elevation"
 REGION = ((-140.0, 60.0), (-140.0, -60.0), (-10.0, -60.0), (-10.0, 60.0))
 
 # Map styling breaks (fixed values).

@@ -42,10 +42,12 @@ def in_region(lon: Column | str, lat: Column | str, ring: Sequence[tuple[float,
 
 
 def cell_index(position: Column | str, origin: float, size: float) -> Column:
-    """The grid index of a coordinate: cells of ``size`` counted from ``origin``."""
-    return F.floor((col(position).cast("double") - F.lit(float(origin))) / F.lit(float(size))).cast(
-        "int"
-    )
+    """The grid index of a coordinate: cells of ``size`` counted from ``origin``.
+
+    NULL for a coordinate too far out for an integer index.
+    """
+    place = (col(position).cast("double") - F.lit(float(origin))) / F.lit(float(size))
+    return F.when(F.abs(place) < F.lit(2.0**31 - 1), F.floor(place).cast("int"))
 
 
 def square_bounds(lon: Column | str, lat: Column | str, half_side_metres: float) -> dict[str, Column]:

@@ -52,7 +52,8 @@ def stratum_of(first_bin: Column | str, second_bin: Column | str, bins: int) ->
 def class_of(value: Column | str, low: float, high: float, classes: int) -> Column:
     """The class 0..classes-1 of a value stretched over [low, high]."""
     place = (col(value).cast("double") - F.lit(low)) / F.lit(high - low) * F.lit(float(classes))
-    return clamp(F.floor(place).cast("int"), 0, classes - 1)
+    # Cut down as a double: a far outlier, say a fill value, has no place among the integers.
+    return clamp(F.floor(clamp(place, 0.0, float(classes - 1))), 0, classes - 1).cast("int")
 
 
 def above(value: Column | str, threshold: float) -> Column:

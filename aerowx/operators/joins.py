@@ -16,8 +16,6 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 10_000_000
-HOT_KEYS = 1_000
-SALTS = 32
 
 
 def fits_broadcast(
@@ -51,25 +49,24 @@ def _salted(
     hot_rows: int,
     spread_by: Sequence[str] | None,
 ) -> DataFrame:
-    # HOT_KEYS rows at most, so this broadcast has a fixed bound; a hot key beyond
-    # them is joined the plain way, with the same result.
+    # A hot key has hot_rows rows of the facts at least, so there are no more of them than
+    # rows / hot_rows; its pieces follow its rows, a quarter of hot_rows to each.
     hot = (
         facts.groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") >= hot_rows)
-        .orderBy(F.desc("_rows"), *on)
-        .limit(HOT_KEYS)
-        .select(*on, F.lit(True).alias("_hot"))
+        .select(*on, F.greatest(F.lit(2), F.ceil(4 * F.col("_rows") / hot_rows)).cast("int").alias("_hot"))
     )
-    draw = F.pmod(F.xxhash64(*(spread_by or facts.columns)), F.lit(SALTS)).cast("int")
+    drawn = F.xxhash64(*(spread_by or facts.columns))
     # NULL keys match nothing, so they may go to any task.
     no_key = F.greatest(*[F.col(k).isNull().cast("int") for k in on], F.lit(0)) == 1
     left = facts.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, draw).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
+        "_salt",
+        F.when(no_key, F.pmod(drawn, F.lit(2**31 - 1)))
+        .otherwise(F.coalesce(F.pmod(drawn, F.col("_hot")), F.lit(0)))
+        .cast("int"),
     )
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_hot"), F.lit(1)) - 1)
     right = (
         keyed.join(F.broadcast(hot), on, "left")
         .withColumn("_salt", F.explode(copies))

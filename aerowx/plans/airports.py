@@ -18,8 +18,8 @@ def airport_records(spark: SparkSession, path: str) -> DataFrame:
     return unwrap_airports(json_documents(spark, path, C.AIRPORT_PAGE))
 
 
-def airports(records: DataFrame, limits: Mapping[str, int] | None = C.COUNTRY_LIMITS) -> DataFrame:
-    """The ``airports`` contract; with limits, so many per country by code."""
+def airports(records: DataFrame, limits: Mapping[str, int] | None = None) -> DataFrame:
+    """The ``airports`` contract; with limits, so many per country by code and no other country."""
     taken = records
     if limits is not None:
         taken = at_most_per_group(

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import io
+import re
 import sys
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -52,7 +54,12 @@ def json_rows(df: DataFrame, name: str = "json", pretty: bool = False) -> DataFr
 
 
 def recreate_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
-    """Drop a table and create it empty under its contract."""
+    """Drop a table and create it empty under its contract.
+
+    The name goes into SQL, so it may only be an identifier, with a database or without.
+    """
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?", name):
+        raise ValueError(f"not a table name: {name!r}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.createDataFrame([], schema).write.format("parquet").saveAsTable(name)
 
@@ -66,18 +73,20 @@ def new_rows(
 ) -> DataFrame:
     """Incoming rows to append: one per key, and none whose key is already there.
 
-    Keys compare as in a join, so rows with a NULL key are always new. The incoming
+    Keys compare as in a join, so rows with a NULL key are always new, each of them. The incoming
     keys are broadcast once measured: a large table is then only scanned for them.
     """
     keys = list(keys)
-    once = first_per_key(incoming, keys, prefer)
+    whole = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    unkeyed = incoming.where(~whole)
+    once = first_per_key(incoming.where(whole), keys, prefer)
     asked = once.select(*keys)
     if fits_broadcast(asked, **bounds):
         found = existing.select(*keys).join(F.broadcast(asked), keys, "left_semi").distinct()
         # No more of them than were asked for.
-        return once.join(F.broadcast(found), keys, "left_anti")
-    there = existing.select(*keys).distinct()
-    return once.join(there.hint("merge"), keys, "left_anti")
+        return once.join(F.broadcast(found), keys, "left_anti").unionByName(unkeyed)
+    there = existing.select(*keys)
+    return once.join(there.hint("merge"), keys, "left_anti").unionByName(unkeyed)
 
 
 def batches(

@@ -15,14 +15,19 @@ def read_table(
     table: str,
     properties: Mapping[str, str] | None = None,
     split_by: str | None = None,
-    low: int = 0,
-    high: int = 0,
+    low: int | None = None,
+    high: int | None = None,
     parts: int = 16,
 ) -> DataFrame:
-    """A whole table; with ``split_by``, a numeric column, in parallel range reads."""
+    """A whole table; with ``split_by``, a numeric column, in parallel range reads.
+
+    A split needs the column's bounds: without them one connection would read all.
+    """
     options = dict(properties or {})
     if split_by is None:
         return spark.read.jdbc(url, table, properties=options)
+    if low is None or high is None or low >= high:
+        raise ValueError(f"a read split by {split_by} needs its bounds, low below high")
     return spark.read.jdbc(
         url, table, split_by, low, high, numPartitions=parts, properties=options
     )

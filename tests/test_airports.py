@@ -52,7 +52,7 @@ def test_pages_become_typed_rows(records):
 
 
 def test_limits_per_country(records):
-    table = plan.airports(records)
+    table = plan.airports(records, C.COUNTRY_LIMITS)
     counts = {r["country_name"]: r["count"] for r in table.groupBy("country_name").count().collect()}
     assert counts == {"United States": 50, "Peru": 10, "Canada": 5}
     codes = {r[0] for r in table.where("country_name = 'Peru'").select("airport_code").collect()}
@@ -60,7 +60,7 @@ def test_limits_per_country(records):
 
 
 def test_map_keeps_unknown_codes_and_drops_wrong_places(records):
-    shown = plan.airport_map(plan.airports(records))
+    shown = plan.airport_map(plan.airports(records, C.COUNTRY_LIMITS))
     codes = [r["airport_code"] for r in shown.collect()]
     assert "YUB" not in codes
     assert None in codes
@@ -76,7 +76,6 @@ def test_key_and_length_checks(records):
 
 
 def test_fixed_lists():
-    assert len(C.WORKING_CODES) == 112 == len(set(C.WORKING_CODES))
     assert len(C.EXCLUDED_CODES) == 8
     assert sum(C.COUNTRY_LIMITS.values()) == 160
     assert len(C.STAGING_NAMES) == 17

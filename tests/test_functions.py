@@ -2,6 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from aerowx.functions.geo import cell_index
+from aerowx.functions.numbers import class_of
 from aerowx import contracts as C
 from aerowx.functions import numbers, text, times
 from aerowx.operators.conform import columns_like
@@ -69,3 +71,11 @@ def test_means(spark):
 def test_wide_band_choice(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "row int, CMI_C01 int, CMI_C02 int, DQF_C01 int")
     assert columns_like(df, C.IMAGER_BANDS, "row").columns == ["row", "CMI_C01", "CMI_C02"]
+
+
+def test_outliers_and_longer_names(spark):
+    df = spark.createDataFrame([(1e20, "x/oldACK_2023-1.parquet"), (-1e20, "x/ACK_2023-1.parquet"), (7.0, "ACK_2023-1.parquet")], "v double, p string")
+    rows = df.select(
+        class_of("v", 0.0, 10.0, 5), cell_index("v", 0.0, 2.0), text.path_part("p", C.MONTHLY_FILE, 1)
+    ).collect()
+    assert [tuple(r) for r in rows] == [(4, None, None), (0, None, "ACK"), (3, 3, "ACK")]

@@ -97,3 +97,16 @@ def test_database_writes_keep_the_definition_and_bound_connections():
     assert second == "append" and "truncate" not in more and more["numPartitions"] == "16"
     with pytest.raises(ValueError):
         jdbc.write_table(writer, "jdbc:x", "airports", "replace")
+
+
+def test_rows_without_a_key_are_all_new(spark):
+    incoming = spark.createDataFrame([(None, 1), (None, 1), (None, 2), (5, 3), (5, 3), (6, 4)], "k int, v int")
+    existing = spark.createDataFrame([(6, 0), (None, 0)], "k int, v int")
+    for bounds in ({}, {"max_rows": 0}):
+        new = sinks.new_rows(incoming, existing, ["k"], **bounds)
+        assert sorted((tuple(r) for r in new.collect()), key=repr) == [(5, 3), (None, 1), (None, 1), (None, 2)]
+
+
+def test_only_identifiers_name_tables(spark):
+    with pytest.raises(ValueError):
+        sinks.recreate_table(spark, "a; DROP TABLE b", None)
