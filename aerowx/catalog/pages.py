@@ -61,28 +61,32 @@ def html_tables(spark, folder):
 
 
 def _tables(spark, folder):
-    """Each tile as three tables of 1, 3 and 2 columns; the last one is a row shorter."""
+    """Each tile as three tables of 1, 4 and 3 columns; the last one is a row shorter."""
+    number = F.when(F.col("col") < 1, 3).when(F.col("col") < 5, 4).otherwise(5)
+    wide = _cell_texts(spark, folder).withColumn("table_no", number)
+    return _as_rows(wide.where((F.col("table_no") < 5) | (F.col("row") < 7)))
+
+
+def _cell_texts(spark, folder):
     whole = F.floor(F.col("value").cast("double") * 1000000).cast("bigint").cast("string")
-    cells = tiles(spark, folder).select("scene", "row", "col", whole.alias("text"))
-    number = F.when(F.col("col") < 1, 3).when(F.col("col") < 4, 4).otherwise(5)
-    wide = cells.where(F.col("col") < 6).withColumn("table_no", number.cast("int"))
+    return tiles(spark, folder).select("scene", "row", "col", "value", whole.alias("text"))
+
+
+def _as_rows(cells):
     ordered = F.transform(
         F.array_sort(F.collect_list(F.struct("col", "text"))), lambda c: c["text"]
     )
-    return (
-        wide.where((F.col("table_no") < 5) | (F.col("row") < 7))
-        .groupBy("scene", "table_no", F.col("row").alias("row_no"))
-        .agg(ordered.alias("cells"))
-    )
+    rows = cells.groupBy("scene", "table_no", F.col("row").alias("row_no"))
+    return rows.agg(ordered.alias("cells"))
 
 
 _LAID = f"""
     {TILES}, laid AS (
         SELECT scene, "row" AS row_no,
-               string_agg(CASE WHEN "col" < 4 OR "row" < 7
+               string_agg(CASE WHEN "col" < 5 OR "row" < 7
                    THEN CAST(CAST(floor(CAST(value AS DOUBLE) * 1000000) AS BIGINT) AS VARCHAR)
                    ELSE 'none' END, ',' ORDER BY "col") AS cells
-        FROM tiles WHERE "col" < 6 AND "row" >= 1 GROUP BY ALL)
+        FROM tiles WHERE "row" >= 1 GROUP BY ALL)
 """
 
 
@@ -92,25 +96,26 @@ def _laid(spark, folder):
     return laid.withColumn("cells", text)
 
 
-@query(f"WITH {_LAID} SELECT scene, row_no, cells, 6 AS width FROM laid")
+@query(f"WITH {_LAID} SELECT scene, row_no, cells, 8 AS width FROM laid")
 def concat_by_position(spark, folder):
     return _laid(spark, folder)
 
 
 @query(
     f"""
-    WITH {TILES}, widths AS (
-        SELECT scene, "row" AS row_no, CAST(count(*) AS INTEGER) AS width
-        FROM tiles WHERE value > -0.2 GROUP BY ALL)
-    SELECT scene, row_no, width, width = 8 AS kept FROM widths
+    WITH {TILES}, counted AS (
+        SELECT scene, "row", count(*) FILTER (value > 0) AS up,
+               count(*) FILTER (coalesce(NOT value > 0, true)) AS down
+        FROM tiles GROUP BY ALL),
+    widths AS (SELECT scene, CAST(max(up) + max(down) AS INTEGER) AS width FROM counted GROUP BY ALL)
+    SELECT scene, "row" AS row_no, width, width = 12 AS kept
+    FROM counted JOIN widths USING (scene) WHERE "row" >= 1
     """
 )
 def width_guard(spark, folder):
-    widths = (
-        tiles(spark, folder)
-        .where(F.col("value") > F.lit(-0.2).cast("float"))
-        .groupBy("scene", F.col("row").alias("row_no"))
-        .agg(F.count(F.lit(1)).cast("int").alias("width"))
-    )
-    good, rest = positions.split_by_width(widths, 8)
+    """Two tables to a tile, of its cells above zero and the others: widths differ by page."""
+    side = F.when(F.col("value") > 0, 1).otherwise(2)
+    rows = _as_rows(_cell_texts(spark, folder).withColumn("table_no", side))
+    laid = positions.side_by_side(rows, ["scene"]).select("scene", "row_no", "width")
+    good, rest = positions.split_by_width(laid, 12)
     return good.withColumn("kept", F.lit(True)).union(rest.withColumn("kept", F.lit(False)))

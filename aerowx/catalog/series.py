@@ -32,11 +32,24 @@ def weekly_avg(spark, folder):
     WITH {_WEEKLY}, ahead AS (
         SELECT *, lead(week) OVER o AS next_week, lead(avg_value) OVER o AS next_value
         FROM weekly WINDOW o AS (PARTITION BY o_custkey ORDER BY week))
-    SELECT *, next_week - week > 7 AS gap FROM ahead WHERE next_week IS NOT NULL
+    SELECT o_custkey, week, avg_value, coalesce(next_week, week) AS next_week,
+           coalesce(next_value, avg_value) AS next_value,
+           CASE WHEN next_week IS NULL THEN 'last' WHEN next_week - week > 7 THEN 'gap'
+                ELSE 'joined' END AS gap
+    FROM ahead
     """
 )
 def gap_flags(spark, folder):
-    return series.with_gaps(_weekly(spark, folder), "o_custkey").where("gap IS NOT NULL")
+    """All points: the last of a series has no gap, and points to itself."""
+    kind = F.when(F.col("gap").isNull(), "last").when(F.col("gap"), "gap").otherwise("joined")
+    return series.with_gaps(_weekly(spark, folder), "o_custkey").select(
+        "o_custkey",
+        "week",
+        "avg_value",
+        F.coalesce("next_week", "week").alias("next_week"),
+        F.coalesce("next_value", "avg_value").alias("next_value"),
+        kind.alias("gap"),
+    )
 
 
 _SEGMENTED = f"""
@@ -80,7 +93,10 @@ def segment_edges(spark, folder):
 
 
 def _staged(spark, folder):
-    """Events as a month's text table per user: one row per day, some cells no numbers."""
+    """Events as a month's text table per user: one row per day, some cells no numbers.
+
+    The n-th reading is raised by n, so that no two columns of a row agree.
+    """
     days = (
         table(spark, folder, "events")
         .groupBy(
@@ -88,23 +104,28 @@ def _staged(spark, folder):
             F.to_date("ts").alias("d"),
         )
         .agg(
-            F.max("value").cast("string").alias("hi"),
-            F.min_by("value", "event_id").cast("string").alias("mid"),
-            F.min("value").cast("string").alias("lo"),
+            F.max("value").alias("hi"),
+            F.min_by("value", "event_id").alias("mid"),
+            F.min("value").alias("lo"),
             F.count(F.lit(1)).alias("n"),
-            F.concat(F.max(F.floor("value")).cast("string"), F.lit(".0")).alias("whole"),
+            F.max(F.floor("value")).alias("whole"),
         )
     )
     names = list(C.STAGING_NAMES)
     readings = ["hi", "mid", "lo", "hi", "mid", "lo", "whole", "whole", "whole"]
     readings += ["hi", "mid", "lo", "hi", "mid", "lo"]
-    rain = F.when(F.col("n") > 3, F.lit("--")).otherwise(F.col("lo"))
+
+    def raised(reading, n):
+        text = (F.col(reading) + n).cast("string")
+        return F.concat(text, F.lit(".0")) if reading == "whole" else text
+
+    rain = F.when(F.col("n") > 3, F.lit("--")).otherwise(raised("lo", 16))
     day = F.when(F.col("n") == 1, F.lit("Max")).otherwise(F.dayofmonth("d").cast("string"))
     return days.select(
         "airport_code",
         F.concat_ws("-", F.year("d"), F.month("d")).alias("year_month"),
         day.alias(names[0]),
-        *[F.col(r).alias(n) for r, n in zip(readings, names[1:16])],
+        *[raised(r, i).alias(names[i]) for i, r in enumerate(readings, 1)],
         rain.alias(names[16]),
     )
 
@@ -139,18 +160,19 @@ def _pages(spark, folder):
 _HISTORIC = """
     days AS (
         SELECT 'U' || user_id AS airport_code, CAST(ts AS DATE) AS date_recorded,
-               CAST(max(value) AS FLOAT) AS hi, CAST(arg_min(value, event_id) AS FLOAT) AS mid,
-               CAST(min(value) AS FLOAT) AS lo, CAST(max(floor(value)) AS INTEGER) AS whole,
-               count(*) AS n
+               max(value) AS hi, arg_min(value, event_id) AS mid, min(value) AS lo,
+               CAST(max(floor(value)) AS INTEGER) AS whole, count(*) AS n
         FROM events GROUP BY user_id, CAST(ts AS DATE)),
     historic AS (
         SELECT airport_code, date_recorded,
-               hi AS temperature_max, mid AS temperature_avg, lo AS temperature_min,
-               hi AS dew_point_max, mid AS dew_point_avg, lo AS dew_point_min,
-               whole AS humidity_max, whole AS humidity_avg, whole AS humidity_min,
-               hi AS wind_speed_max, mid AS wind_speed_avg, lo AS wind_speed_min,
-               hi AS pressure_max, mid AS pressure_avg, lo AS pressure_min,
-               CASE WHEN n <= 3 THEN lo END AS precipitation
+               CAST(hi + 1 AS FLOAT) AS temperature_max, CAST(mid + 2 AS FLOAT) AS temperature_avg,
+               CAST(lo + 3 AS FLOAT) AS temperature_min, CAST(hi + 4 AS FLOAT) AS dew_point_max,
+               CAST(mid + 5 AS FLOAT) AS dew_point_avg, CAST(lo + 6 AS FLOAT) AS dew_point_min,
+               whole + 7 AS humidity_max, whole + 8 AS humidity_avg, whole + 9 AS humidity_min,
+               CAST(hi + 10 AS FLOAT) AS wind_speed_max, CAST(mid + 11 AS FLOAT) AS wind_speed_avg,
+               CAST(lo + 12 AS FLOAT) AS wind_speed_min, CAST(hi + 13 AS FLOAT) AS pressure_max,
+               CAST(mid + 14 AS FLOAT) AS pressure_avg, CAST(lo + 15 AS FLOAT) AS pressure_min,
+               CASE WHEN n <= 3 THEN CAST(lo + 16 AS FLOAT) END AS precipitation
         FROM days WHERE n > 1)
 """
 

@@ -16,15 +16,16 @@ def side_by_side(rows: DataFrame, keys: Sequence[str], skip: int = 1) -> DataFra
     short for a row gives NULLs there. The first ``skip`` rows are left out.
 
     Copies of a row are dropped in each task first, so that a page landed many times
-    weighs as much as one. From then on a page's rows stay together: the widths, the
-    layout and the joined rows take one shuffle by page.
+    weighs as much as one; of several versions of a row, the smallest by its cells stays.
+    From then on a page's rows stay together: the widths, the layout and the joined rows
+    take one shuffle by page.
     """
     keys = list(keys)
     page = Window.partitionBy(*keys)
     wide = F.max(F.size("cells")).over(Window.partitionBy(*keys, "table_no"))
     sized = (
-        rows.select(*keys, "table_no", "row_no", "cells")
-        .distinct()
+        rows.groupBy(*keys, "table_no", "row_no")
+        .agg(F.min("cells").alias("cells"))
         .repartition(*keys)
         .withColumn("_wide", wide)
         .withColumn("_widths", F.collect_set(F.struct("table_no", "_wide")).over(page))

@@ -78,24 +78,33 @@ def mosaics_at(
     lookback_hours: int = C.LOOKBACK_HOURS,
     pick: str = "earliest",
     unique_times: bool = False,
+    pieces: int = 64,
     **bounds,
 ) -> DataFrame:
     """A mosaic for each moment in ``dates.at``: (at, row, col, band, value).
 
     Each date is placed in the hours its window touches, so that pixels meet it in
-    an equi-join on the hour; the exact range is checked on top. The dates are few
-    and broadcast once measured.
+    an equi-join on the hour; the exact range is checked on top. Few dates are
+    broadcast once measured. Otherwise an hour's pixels are dealt over ``pieces`` by their
+    cell, and each piece gets the hour's windows.
     """
     start = shift_hours("at", -lookback_hours)
     hours = F.sequence(slot(start, 24), slot("at", 24))
     windows = dates.select("at").distinct().select("at", F.explode(hours).alias("_hour"))
-    windows = F.broadcast(windows) if fits_broadcast(windows, **bounds) else windows.hint("merge")
     valid = pixels.where(F.col("value").isNotNull()).withColumn("_hour", slot("scene_ts", 24))
+    on = ["_hour"]
+    if fits_broadcast(windows, **bounds):
+        windows = F.broadcast(windows)
+    else:
+        on = ["_hour", "_piece"]
+        valid = valid.withColumn("_piece", F.pmod(F.hash(*CELL), F.lit(pieces)))
+        every = F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("_piece")
+        windows = windows.select("*", every).hint("merge")
     inside = (F.col("scene_ts") >= shift_hours("at", -lookback_hours)) & (
         F.col("scene_ts") < F.col("at")
     )
     return mosaic(
-        valid.join(windows, "_hour").where(inside),
+        valid.join(windows, on).where(inside),
         ("at", "row", "col", "band"),
         pick,
         unique_times,
@@ -270,11 +279,15 @@ def _nearest(
     valid = pixels.where(F.col("value").isNotNull()).select(
         *CELL, "band", "scene_ts", "value", slot("scene_ts", slices_per_day).alias("_slice")
     )
-    # Distinct before the slices are multiplied out, and after.
-    spans = placed.select(*CELL, "band", *span).distinct()
-    needed = spans.select(*CELL, "band", each).distinct()
-    if fits_broadcast(needed, **bounds):
-        valid = valid.join(F.broadcast(needed), place, "left_semi")
+    # Only pixels of wanted cells and slices go on, or of wanted cells where those are too many
+    # to broadcast. Distinct before the slices are multiplied out, and after; without the
+    # band, which would multiply them again.
+    cells = placed.select(*CELL, *span).distinct()
+    for wanted in (cells.select(*CELL, each).distinct(), cells.select(*CELL).distinct()):
+        if fits_broadcast(wanted, **bounds):
+            valid = valid.join(F.broadcast(wanted), wanted.columns, "left_semi")
+            valid = valid.select(*place, "scene_ts", "value")
+            break
 
     # Earliest reads time backwards: the last pixel before a probe in that order is the
     # first one from its window's start on. A pixel on the start counts, one on the end does not.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,23 +43,29 @@ def scenes_for(
     last_hour: int = 0,
     day_column: str | None = None,
 ) -> DataFrame:
-    """Pixels of the days that any date looks at: literals, so they prune files.
+    """Pixels that any date looks at, from its first to before its last hour.
 
-    With a table partitioned by day, name that column and only its folders are read.
+    Spans that meet are merged, and the scan gets one range for each that is left: between
+    dates far apart nothing is read but the row groups their ranges touch. With a table
+    partitioned by day, name that column and only its folders are read.
     """
     if not dates:
         raise ValueError("no dates")
-    days = set()
-    for date in dates:
-        day = (date + dt.timedelta(hours=first_hour)).date()
-        while day <= (date + dt.timedelta(hours=last_hour)).date():
-            days.add(day)
-            day += dt.timedelta(days=1)
+    spans: list[list[dt.datetime]] = []
+    for date in sorted(dates):
+        first, after = (date + dt.timedelta(hours=h) for h in (first_hour, last_hour))
+        if spans and first <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], after)
+        else:
+            spans.append([first, after])
     if day_column is not None:
+        days = set()
+        for first, after in spans:
+            days |= {first.date() + dt.timedelta(days=n) for n in range((after.date() - first.date()).days + 1)}
         pixels = pixels.where(F.col(day_column).isin(sorted(days)))
-    first = ntz(min(days).isoformat() + " 00:00:00")
-    after = ntz((max(days) + dt.timedelta(days=1)).isoformat() + " 00:00:00")
-    return pixels.where((F.col("scene_ts") >= first) & (F.col("scene_ts") < after))
+    ts = F.col("scene_ts")
+    ranges = [(ts >= ntz(first)) & (ts < ntz(after)) for first, after in spans]
+    return pixels.where(reduce(lambda a, b: a | b, ranges))
 
 
 def sample_points(
@@ -202,7 +209,7 @@ def training_batches(
         min(C.INPUT_HOURS) - C.LOOKBACK_HOURS,
         max(C.LABEL_HOURS),
         day_column,
-    )
+    ).where(F.col("band").isin([C.PRECIPITATION_BAND, *imager_bands]))
     examples = training_examples(needed, grid, points, imager_bands, patch_size)
     mixed = examples.withColumn("example_no", seeded_hash(seed, *POINT))
     return with_batch(mixed, ["example_no", *POINT], min_batch_size), rejected

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import contracts as C
 from .operators.flow import at_most_parallel
 from .operators.joins import fits_broadcast
 from .operators.sampling import first_per_key
@@ -115,14 +114,15 @@ def write_npz(
     patch_size: int,
     input_channels: int,
     label_channels: int,
-    max_parallel: int = C.MAX_REQUESTS,
+    max_parallel: int | None = None,
 ) -> DataFrame:
     """Write each batch as ``{batch_id}.npz`` with arrays ``inputs`` and ``labels``
     of shape (examples, size, size, channels); returns (batch_id, file_name).
 
     A file is named after its batch, so a task that runs again replaces its own
     files. Nothing is written until the result is used. ``folder`` must be one that
-    all executors share; at most ``max_parallel`` tasks write.
+    all executors share, and a new one for each set, since files of other batches stay in
+    it. As many tasks write as there are partitions, or at most ``max_parallel``.
     """
     shapes = {
         "inputs": (-1, patch_size, patch_size, input_channels),
@@ -149,7 +149,9 @@ def write_npz(
                 part = f"{name}.{attempt}.part"
                 with store.open_output_stream(part) as out:
                     out.write(data.getvalue())
-                if store.get_file_info(name).type != fs.FileType.NotFound:
+                # A local move replaces the file at once; other stores want the name free.
+                local = isinstance(store, fs.LocalFileSystem)
+                if not local and store.get_file_info(name).type != fs.FileType.NotFound:
                     store.delete_file(name)
                 store.move(part, name)
                 names.append(name)
@@ -157,4 +159,6 @@ def write_npz(
 
     schema = "batch_id bigint, file_name string"
     rows = batched.select(F.col("batch_id").cast("bigint"), "inputs", "labels")
-    return at_most_parallel(rows, max_parallel, "batch_id").mapInPandas(save, schema)
+    if max_parallel is not None:
+        rows = at_most_parallel(rows, max_parallel, "batch_id")
+    return rows.mapInPandas(save, schema)

@@ -18,17 +18,23 @@ from pyspark.sql import types as T
 # Ship this module's code with the tasks, so that workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Columns or rows that one cell may span; a page beyond it is rejected as a whole.
+MAX_SPAN = 10_000
+
 
 class _Tables(HTMLParser):
     """Collects (table_no, row_no, is_header, cells), tables counted in page order.
 
     A nested table is a table of its own, and its text also belongs to the cell
-    around it. A cell that spans columns is repeated.
+    around it. A cell that spans columns or rows is repeated in each of them; rows that
+    exist only because a cell reaches past the last one are added.
     """
 
-    def __init__(self, container: str, row: str, cells: Sequence[str]):
+    def __init__(self, container: str, row: str, cells: Sequence[str], max_span: int):
         super().__init__(convert_charrefs=True)
         self.container, self.row, self.cells = container, row, cells
+        self.max_span = max_span
+        self.widest_span = 1
         self.open: list[dict] = []
         self.rows: list[tuple[int, int, bool, list[str]]] = []
         self.count = 0
@@ -38,7 +44,7 @@ class _Tables(HTMLParser):
             self.count += 1
             self.open.append(
                 {"no": self.count, "thead": False, "row": None, "text": None,
-                 "headers": 0, "bodies": 0}
+                 "headers": 0, "bodies": 0, "kind": "headers", "below": []}
             )
             return
         if not self.open:
@@ -51,9 +57,9 @@ class _Tables(HTMLParser):
             table["row"] = []
         if tag in self.cells and table["row"] is not None:
             self._end_cell()
-            span = dict(attrs).get("colspan") or ""
+            given = dict(attrs)
             table["text"] = []
-            table["across"] = min(int(span), 1000) if span.isdigit() and int(span) else 1
+            table["across"], table["down"] = (self._span(given.get(a)) for a in ("colspan", "rowspan"))
             table["th"] = tag == "th"
 
     def handle_endtag(self, tag):
@@ -66,6 +72,7 @@ class _Tables(HTMLParser):
         if tag == "thead":
             self.open[-1]["thead"] = False
         if tag == self.container:
+            self._end_spans()
             self.open.pop()
 
     def handle_data(self, data):
@@ -77,26 +84,63 @@ class _Tables(HTMLParser):
         super().close()
         while self.open:
             self._end_row()
+            self._end_spans()
             self.open.pop()
 
+    def _span(self, given: str | None) -> int:
+        span = int(given) if given and given.isascii() and given.isdigit() and len(given) < 10 else 1
+        if given and given.isascii() and given.isdigit() and len(given) >= 10:
+            span = self.max_span + 1
+        self.widest_span = max(self.widest_span, span)
+        # A page with a wider span is rejected as a whole; nothing of it is laid out.
+        return span if 0 < span <= self.max_span else 1
+
     def _end_cell(self):
         table = self.open[-1]
         if table["text"] is not None:
             text = " ".join("".join(table["text"]).split())
-            table["row"] += [(text, table["th"])] * table["across"]
+            table["row"].append((text, table["th"], table["across"], table["down"]))
             table["text"] = None
 
     def _end_row(self):
         table = self.open[-1]
         self._end_cell()
-        if table["row"]:
-            leading = not table["bodies"] and all(th for _, th in table["row"])
-            kind = "headers" if table["thead"] or leading else "bodies"
-            texts = [text for text, _ in table["row"]]
-            self.rows.append((table["no"], table[kind], kind == "headers", texts))
-            table[kind] += 1
+        if table["row"] or (table["row"] is not None and table["below"]):
+            heads = bool(table["row"]) and all(cell[1] for cell in table["row"])
+            kind = "headers" if table["thead"] or (heads and not table["bodies"]) else "bodies"
+            if kind != table["kind"]:
+                self._end_spans()
+                table["kind"] = kind
+            self._lay(table["row"])
         table["row"] = None
 
+    def _end_spans(self):
+        while self.open[-1]["below"]:
+            self._lay([])
+
+    def _lay(self, cells):
+        """Add a row: its own cells, each after those that reach down to its place."""
+        table = self.open[-1]
+        waiting, below, texts = table["below"], [], []
+
+        def put(text, down):
+            if down > 1:
+                below.append((len(texts), text, down - 1))
+            texts.append(text)
+
+        for text, _, across, down in cells:
+            while waiting and waiting[0][0] <= len(texts):
+                put(*waiting.pop(0)[1:])
+            for _ in range(across):
+                put(text, down)
+        # A count of 1 stands for the row it is put into.
+        for _, text, left in waiting:
+            put(text, left)
+        table["below"] = below
+        if texts:
+            self.rows.append((table["no"], table[table["kind"]], table["kind"] == "headers", texts))
+            table[table["kind"]] += 1
+
 
 def html_tables(
     pages: DataFrame,
@@ -105,11 +149,14 @@ def html_tables(
     container: str = "table",
     row: str = "tr",
     cells: Sequence[str] = ("td", "th"),
+    max_span: int = MAX_SPAN,
 ) -> DataFrame:
     """(*keys, table_no from 1, row_no from 0, is_header, cells): every row of every table.
 
     Body rows and header rows are numbered apart; header rows are those in a
-    ``thead`` or, without one, the leading rows of ``th`` cells only.
+    ``thead`` or, without one, the leading rows of ``th`` cells only. A page with a cell
+    that spans more than ``max_span`` columns or rows gives nothing here and is listed by
+    ``span_rejects``.
     """
     keys = list(keys)
     found = T.StructType(
@@ -121,16 +168,48 @@ def html_tables(
         ]
     )
     schema = T.StructType([*[pages.schema[k] for k in keys], *found.fields])
-    tags = (container, row, tuple(cells))
+    tags = (container, row, tuple(cells), max_span)
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for page in batch.itertuples(index=False, name=None):
-                parser = _Tables(*tags)
-                parser.feed(page[-1] or "")
-                parser.close()
-                out.extend((*page[:-1], *line) for line in parser.rows)
+                parser = _parsed(page[-1], tags)
+                if parser.widest_span <= max_span:
+                    out.extend((*page[:-1], *line) for line in parser.rows)
             yield pd.DataFrame(out, columns=schema.fieldNames())
 
     return pages.select(*keys, html).mapInPandas(extract, schema)
+
+
+def span_rejects(
+    pages: DataFrame,
+    keys: Sequence[str],
+    html: str = "html",
+    container: str = "table",
+    row: str = "tr",
+    cells: Sequence[str] = ("td", "th"),
+    max_span: int = MAX_SPAN,
+) -> DataFrame:
+    """(*keys, reason): the pages that ``html_tables`` leaves out for a cell that spans too much."""
+    keys = list(keys)
+    schema = T.StructType([*[pages.schema[k] for k in keys], T.StructField("reason", T.StringType())])
+    tags = (container, row, tuple(cells), max_span)
+
+    def reject(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [
+                (*page[:-1], "span")
+                for page in batch.itertuples(index=False, name=None)
+                if _parsed(page[-1], tags).widest_span > max_span
+            ]
+            yield pd.DataFrame(out, columns=schema.fieldNames())
+
+    return pages.select(*keys, html).mapInPandas(reject, schema)
+
+
+def _parsed(html: str | None, tags: tuple) -> _Tables:
+    parser = _Tables(*tags)
+    parser.feed(html or "")
+    parser.close()
+    return parser

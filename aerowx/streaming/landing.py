@@ -14,6 +14,17 @@ from ..sinks import new_rows, write_partitioned
 KEYS = ["airport_code", "date_recorded"]
 
 
+def same_months(incoming: DataFrame, table_path: str) -> DataFrame:
+    """The table's rows of the months that ``incoming`` brings.
+
+    The months, one text per calendar month, go into the plan as literals, so that the
+    scan lists and reads their folders only.
+    """
+    months = [r["year_month"] for r in incoming.select("year_month").distinct().collect()]
+    existing = incoming.sparkSession.read.schema(incoming.schema).parquet(table_path)
+    return existing.where(F.col("year_month").isin(sorted(months)))
+
+
 def append_landed(
     spark: SparkSession, folder: str, table_path: str, rejects_path: str, checkpoint: str
 ) -> StreamingQuery:
@@ -37,14 +48,17 @@ def append_landed(
     )
 
     def append(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        rows, rejected = historic(batch)
-        rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch={number}")
-        month = F.date_format("date_recorded", "yyyy-MM")
-        incoming = rows.withColumn("year_month", month)
-        existing = session.read.schema(incoming.schema).parquet(table_path)
-        there = existing.join(incoming.select("year_month").distinct(), "year_month", "left_semi")
-        write_partitioned(new_rows(incoming, there, KEYS), table_path, ["year_month"], "append")
+        # Rejects, months, look-up and write all read the batch.
+        batch.persist()
+        try:
+            rows, rejected = historic(batch)
+            rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch={number}")
+            month = F.date_format("date_recorded", "yyyy-MM")
+            incoming = rows.withColumn("year_month", month)
+            there = same_months(incoming, table_path)
+            write_partitioned(new_rows(incoming, there, KEYS), table_path, ["year_month"], "append")
+        finally:
+            batch.unpersist()
 
     spark.createDataFrame([], C.HISTORIC).withColumn(
         "year_month", F.lit("").cast("string")

@@ -1,9 +1,10 @@
 import pytest
 
 from aerowx import contracts as C
+from aerowx.operators import positions
 from aerowx.operators.requests import month_grid, page_status, status_counts
 from aerowx.plans.historic import historic, staged_from_pages
-from aerowx.sources.pages import html_tables
+from aerowx.sources.pages import html_tables, span_rejects
 
 WIDTHS = [1, 3, 3, 3, 3, 3, 1]
 
@@ -88,3 +89,41 @@ def test_month_grid_is_a_projection(spark):
     assert first["url"] == "https://www.wunderground.com/history/monthly/ACK/date/2023-3"
     assert first["year_month"] == "2023-03"
     assert "Join" not in grid._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cells_that_span_rows_are_carried_down(spark):
+    html = (
+        "<table><tr><th colspan=2>h</table>"
+        "<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td rowspan=3>e</table>"
+        "<table><tr><td>x<td rowspan=2 colspan=2>y<td>z<tr><td>u<td>v</table>"
+    )
+    pages = spark.createDataFrame([(1, html), (2, None)], "id int, html string")
+    found = html_tables(pages, ["id"]).where("id = 1").orderBy("table_no", "row_no")
+    assert [(r.table_no, r.cells) for r in found.collect()] == [
+        (1, ["h", "h"]),
+        (2, ["a", "b"]),
+        (2, ["a", "c"]),
+        (2, ["d", "e"]),
+        (2, ["e"]),
+        (2, ["e"]),
+        (3, ["x", "y", "y", "z"]),
+        (3, ["u", "y", "y", "v"]),
+    ]
+
+
+def test_wide_spans_are_whole_and_too_wide_ones_rejected(spark):
+    cell = "<table><tr><td colspan={}>a</table>"
+    spans = [(1, cell.format(1500)), (2, cell.format(10**12)), (3, cell.format(10_001)), (4, cell.format(0))]
+    pages = spark.createDataFrame(spans, "id int, html string")
+    found = {r.id: len(r.cells) for r in html_tables(pages, ["id"]).collect()}
+    assert found == {1: 1500, 4: 1}
+    left_out = span_rejects(pages, ["id"]).collect()
+    assert sorted((r.id, r.reason) for r in left_out) == [(2, "span"), (3, "span")]
+
+
+def test_one_version_of_a_row_is_laid_out(spark):
+    rows = [(1, 1, 1, ["b"]), (1, 1, 1, ["a"]), (1, 2, 1, ["x", "y"])]
+    laid = positions.side_by_side(
+        spark.createDataFrame(rows, "page int, table_no int, row_no int, cells array<string>"), ["page"]
+    )
+    assert [(r.cells, r.width) for r in laid.collect()] == [(["a", "x", "y"], 3)]

@@ -219,3 +219,19 @@ def test_map_layers(spark, scenes):
     picture = maps.imager_layer(scenes.withColumn("value", scenes["value"] * 200), T0, grid)
     assert {r["col"]: tuple(r)[2:] for r in picture.collect()} == {0: (0, 0, 153), 1: (0, 0, 0)}
     assert maps.layer_moments(T0, C.LABEL_HOURS) == [T0 + 2 * H, T0 + 6 * H]
+
+
+def test_many_dates_do_not_meet_on_the_hour_alone(spark, rows):
+    import datetime as dt
+
+    pixels = spark.range(600).selectExpr(
+        "timestamp_ntz'2023-01-01 00:00:00' + make_interval(0,0,0,0,if(id % 3 = 0, 5, id % 40)) AS scene_ts",
+        "cast(id div 20 as int) AS row", "cast(id % 20 as int) AS col", "'b' AS band", "cast(id as double) AS value",
+    )
+    dates = spark.createDataFrame(
+        [(dt.datetime(2023, 1, 1) + dt.timedelta(hours=h),) for h in (6, 12, 30)], "at timestamp_ntz"
+    )
+    dealt = raster.mosaics_at(pixels, dates, max_rows=0)
+    text = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_hour#" in text and "_piece#" in text.split("hashpartitioning(_hour#")[1][:40]
+    assert rows(dealt) == rows(raster.mosaics_at(pixels, dates)) != []

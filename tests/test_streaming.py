@@ -1,7 +1,7 @@
 import pandas as pd
 
 from aerowx import contracts as C
-from aerowx.streaming.landing import append_landed
+from aerowx.streaming.landing import append_landed, same_months
 
 NAMES = list(C.STAGING_NAMES)
 
@@ -31,3 +31,14 @@ def test_landed_files_are_appended_once(spark, tmp_path):
     append_landed(spark, str(folder), table, rejects, state).awaitTermination()
     assert spark.read.parquet(table).count() == 5
     assert [r["Date"] for r in spark.read.parquet(rejects).collect()] == ["30"]
+
+
+def test_a_batch_reads_its_own_months_only(spark, tmp_path, plan_of):
+    table = str(tmp_path / "t")
+    rows = [("2023-01", 1), ("2023-02", 2), ("2023-03", 3)]
+    spark.createDataFrame(rows, "year_month string, v int").write.partitionBy("year_month").parquet(table)
+    incoming = spark.createDataFrame([("2023-02", 5), ("2023-02", 6)], "year_month string, v int")
+    there = same_months(incoming, table)
+    assert [r["v"] for r in there.collect()] == [2]
+    filters = [line for line in plan_of(there).splitlines() if "PartitionFilters" in line]
+    assert filters and "2023-02" in filters[0] and "2023-03" not in filters[0]

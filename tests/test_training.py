@@ -125,3 +125,34 @@ def test_only_the_days_looked_at_are_read(spark, world, tmp_path, plan_of):
     assert days == {"2024-01-10", "2024-01-11"}
     filters = [line for line in plan_of(needed).splitlines() if line.startswith("PartitionFilters")]
     assert len(filters) == 1 and "day#" in filters[0] and "IN" in filters[0]
+
+
+def test_only_the_ranges_of_dates_are_read(spark, tmp_path, plan_of):
+    import datetime as dt
+
+    from aerowx.plans.training import scenes_for
+
+    path = str(tmp_path / "p")
+    hours = spark.range(24 * 60).selectExpr("timestamp_ntz'2023-01-01 00:00:00' + make_interval(0,0,0,0,id) AS scene_ts")
+    hours.write.parquet(path)
+    dates = [dt.datetime(2023, 2, 20), dt.datetime(2023, 1, 3), dt.datetime(2023, 1, 3, 12)]
+    seen = scenes_for(spark.read.parquet(path), dates, -24, 2)
+    assert seen.count() == 38 + 26
+    pushed = next(line for line in plan_of(seen).splitlines() if "PushedFilters" in line)
+    assert all(day in pushed for day in ("2023-01-02", "2023-01-03", "2023-02-19", "2023-02-20"))
+
+
+def test_training_files_take_their_parallelism_from_the_data(spark, tmp_path):
+    import numpy as np
+
+    from aerowx import sinks
+
+    rows = [(b, [[float(b)] * 4] * 2, [[1.0] * 4] * 2) for b in range(3)]
+    batched = spark.createDataFrame(rows, "batch_id long, inputs array<array<float>>, labels array<array<float>>")
+    folder = f"file://{tmp_path}/set"
+    for tasks in (None, 1):
+        written = sinks.write_npz(batched.repartition(3), folder, 2, 1, 1, tasks)
+        assert written.rdd.getNumPartitions() == (tasks or 3)
+        assert written.count() == 3
+    assert sorted(p.name for p in (tmp_path / "set").iterdir()) == ["0.npz", "1.npz", "2.npz"]
+    assert np.load(tmp_path / "set" / "2.npz")["inputs"].tolist() == [[[[2.0], [2.0]], [[2.0], [2.0]]]] * 2
