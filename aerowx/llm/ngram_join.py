@@ -48,6 +48,8 @@ TILE_DOCS = 512
 TILE_SHINGLES = 1 << 21
 _FLUSH = 1 << 20
 _COLUMNS = 4096
+#: Tokens of at most this part of a tile's sets are counted pair by pair.
+_SPARSE = 12
 
 
 def _digest(tokens: np.ndarray) -> bytes:
@@ -226,8 +228,27 @@ def _pairs(order: np.ndarray, x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"ord": order[apart], "a": high[apart], "b": low[apart]})
 
 
+def _pair_counts(rows: np.ndarray, lengths: np.ndarray, m: int) -> np.ndarray:
+    """How many short columns each two rows share; ``rows`` holds the columns one after another."""
+    starts = np.cumsum(lengths) - lengths
+    total = np.zeros(m * m, np.int64)
+    for length in np.unique(lengths).tolist():
+        first, second = np.triu_indices(length, 1)
+        members = rows[starts[lengths == length][:, None] + np.arange(length)]
+        step = max(1, _FLUSH // len(first))
+        for k in range(0, len(members), step):
+            part = members[k : k + step]
+            total += np.bincount((part[:, first] * m + part[:, second]).ravel(), minlength=m * m)
+    both = total.reshape(m, m)
+    return both + both.T
+
+
 def _common(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, by a product over the tokens that more than one set has."""
+    """Sizes of the intersections of all sets, the diagonal left open.
+
+    Only tokens that more than one set has count. Those of few sets are counted pair by pair,
+    the others by a matrix product, whose cost does not depend on how many sets have one.
+    """
     m = len(sets)
     if m == 2:
         both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
@@ -238,18 +259,19 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     tokens, rows = tokens[order], rows[order]
     starts = run_starts(tokens)
     lengths = np.diff(np.append(starts, len(tokens)))
-    column = np.repeat(np.arange(len(starts)), lengths)
-    shared = np.repeat(lengths > 1, lengths)
-    rows, column = rows[shared], column[shared]
-    total = np.zeros((m, m), np.float64)
-    edges = np.arange(0, len(starts) + _COLUMNS, _COLUMNS)
+    few = (lengths > 1) & (lengths <= max(2, m // _SPARSE))
+    total = _pair_counts(rows[np.repeat(few, lengths)], lengths[few], m)
+    many = (lengths > 1) & ~few
+    column = np.repeat(np.arange(many.sum()), lengths[many])
+    rows = rows[np.repeat(many, lengths)]
+    edges = np.arange(0, many.sum() + _COLUMNS, _COLUMNS)
     cuts = np.searchsorted(column, edges)
     for base, a, b in zip(edges, cuts[:-1], cuts[1:]):
         if a < b:
             dense = np.zeros((m, _COLUMNS), np.float32)
             dense[rows[a:b], column[a:b] - base] = 1
-            total += dense @ dense.T
-    return np.rint(total).astype(np.int64)
+            total += np.rint(dense @ dense.T).astype(np.int64)
+    return total
 
 
 def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:

@@ -20,6 +20,7 @@ from aerowx.llm.html_extract import extract_main_text, page_blocks
 from aerowx.llm.licenses import KNOWN, license_lookup
 from aerowx.llm.lm import lm_score
 from aerowx.llm.mixing import mix, mixed_rows
+from aerowx.llm.ngram_join import linked as ngram_links
 from aerowx.llm.ngram_join import ngram_join
 from aerowx.llm.packing import Encoder, closest_fill, pack, plan
 from aerowx.llm.shared import shared_folder
@@ -383,3 +384,18 @@ def test_empty_tables(spark, name):
     }
     for run in runs[name]:
         assert run().count() == 0
+
+
+def test_ngram_links_of_many_sets_equal_brute_force():
+    rng = np.random.default_rng(5)
+    common = rng.choice(1 << 40, 300, replace=False)
+    sets = []
+    for k in range(60):
+        # Some tokens are in all sets, some in every fifth, some in few, some in one.
+        own = rng.choice(1 << 40, 8, replace=False)
+        part = [common[:200], common[200:240] if k % 5 else own, rng.choice(common[240:], 6, replace=False)]
+        sets.append(np.unique(np.concatenate(part).astype(np.uint64)))
+    as_sets = [set(s.tolist()) for s in sets]
+    for percent in (50, 85, 95, 100):
+        want = [[x is not y and 100 * len(x & y) >= percent * len(x | y) for y in as_sets] for x in as_sets]
+        assert ngram_links(sets, percent).tolist() == want
