@@ -87,7 +87,7 @@ _REACH = """
 
 
 def _known_values() -> str:
-    rows = ", ".join(f"('{k}', '" + v.replace("'", "''") + "')" for k, v in licenses.KNOWN.items())
+    rows = ", ".join(f"('{k}', '" + v.replace("'", "''") + "')" for k, v in licenses.known_rows(licenses.KNOWN))
     return f"(VALUES {rows}) AS k(license_id, body)"
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -302,6 +303,45 @@ def test_licences(spark):
     assert spelled.first().license_id == "x"
 
 
+ISC_AS_PUBLISHED = """The ISC License
+
+# Copyright (c) Some One and Contributors
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR
+IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+
+
+def test_licences_as_published(spark):
+    mit = KNOWN["MIT"].removeprefix("MIT License\n\n")
+    wrapped = "\n".join(textwrap.wrap(KNOWN["ISC"], 60))
+    bsd, apache = KNOWN["BSD-3-Clause"], KNOWN["Apache-2.0"]
+    listed = [
+        ("ISC", ISC_AS_PUBLISHED),
+        ("ISC", " * Copyright 2011 A. Holder\n" + wrapped),
+        ("MIT", "The MIT License (MIT)\n\n// Copyright (c) 2014 Jane\n// © 2015 Joe\n\n" + mit),
+        ("MIT", "Copyright JS Foundation and other contributors, https://js.foundation/\n\n" + mit),
+        ("BSD-3-Clause", "Copyright (c) 2009, A\nAll rights reserved.\n\n" + bsd.split("\n", 1)[1].replace("OWNER OR", "HOLDER OR")),
+        ("BSD-2-Clause", "BSD 2-Clause License\n\n" + KNOWN["BSD-2-Clause"]),
+        ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2011 Dominic Tarr")),
+        ("Apache-2.0", "\n".join(textwrap.wrap(apache.split("   END OF TERMS")[0], 50))),
+        *[(k, KNOWN[k]) for k in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense")],
+        (None, ISC_AS_PUBLISHED.replace("copyright notice and this permission notice", "")),
+        (None, bsd.replace("this list of conditions", "")),
+    ]
+    got = {r.doc_id: r.license_id for r in license_lookup(documents(spark, [(k, t) for k, (_, t) in enumerate(listed)])).collect()}
+    assert [got[k] for k in range(len(listed))] == [name for name, _ in listed]
+
+
 def test_toxicity_learns_and_ignores_groups(spark):
     rng = random.Random(6)
     rows, labels = [], []
