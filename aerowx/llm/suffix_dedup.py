@@ -8,7 +8,9 @@ common with a neighbour bounds how far a match reaches to the right. Up to there
 extended to the left word by word, which settles each window of ``min_words`` words.
 
 Surroundings that are equal are one row with the smallest and largest document that has
-them, so a passage with very many copies costs no more than one with two.
+them, so a passage with very many copies costs no more than one with two. Sorted rows are
+dealt in ranges that may cut a gram, and a task holds ``MOST_ROWS`` of one gram and a batch at
+most. Where a gram is cut, its windows are not settled in the task but by a groupBy.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import enrich
 from ..session import durable
 from .runs import run_starts, whole_runs
 from .shared import written
@@ -27,6 +30,8 @@ from .words import grams, hash_words, mixed, text_words
 
 MIN_WORDS = 50
 GRAM = 8
+#: Rows of one gram that a task settles by itself.
+MOST_ROWS = 4096
 
 
 def _shape(min_words: int, gram: int) -> int:
@@ -116,21 +121,22 @@ def _surroundings(min_words: int, gram: int):
     return surroundings
 
 
-def repeated_windows(
-    grams_: np.ndarray, table: np.ndarray, low: np.ndarray, high: np.ndarray, min_words: int, gram: int
+def live_windows(
+    grams_: np.ndarray, table: np.ndarray, many: np.ndarray, min_words: int, gram: int, cut: bool = False
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which windows around sorted suffixes occur in two documents, as bits from the left.
+    """Rows, starts and keys of the windows around sorted suffixes that may occur twice.
 
-    ``low`` and ``high`` are the smallest and largest document that has each row. Also
-    gives the smallest and largest document over the repeated windows of each row.
+    ``many`` tells rows that two documents have. Where the rows are ``cut`` out of more, the
+    first and last may share all with neighbours that aren't here. Equal windows have one key.
     """
-    side, starts = min_words - gram, min_words - gram + 1
-    many = low != high
+    starts = min_words - gram + 1
     # The longest run shared to the right is shared with a neighbour.
     right = table[:, :min_words]
     equal = (right[1:] == right[:-1]) & (right[1:] != 0)
     common = np.where(equal.all(axis=1), min_words, equal.argmin(axis=1)) * (grams_[1:] == grams_[:-1])
     reach = np.maximum(np.append(common, 0), np.append(0, common))
+    if cut:
+        reach[[0, -1]] = min_words
     # A window ends some words to the right; to the left the match is extended word by word,
     # all starts at once, by one running sum over the row.
     row = np.concatenate((table[:, min_words:][:, ::-1], right), axis=1).astype(np.uint64)
@@ -142,12 +148,24 @@ def repeated_windows(
     whole = (row[:, :starts] != 0) & (row[:, min_words - 1 :] != 0)
     live = whole & (many[:, None] | (ends <= reach[:, None]))
     at, start = np.nonzero(live)
+    key = mixed(keys[at, start] + np.uint64(0x9E3779B97F4A7C15) * start.astype(np.uint64)) ^ mixed(
+        grams_[at].view(np.uint64), 17
+    )
+    return at, start, key
+
+
+def repeated_windows(
+    grams_: np.ndarray, table: np.ndarray, low: np.ndarray, high: np.ndarray, min_words: int, gram: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which windows around sorted suffixes occur in two documents, as bits from the left.
+
+    ``low`` and ``high`` are the smallest and largest document that has each row. Also
+    gives the smallest and largest document over the repeated windows of each row.
+    """
+    at, start, key = live_windows(grams_, table, low != high, min_words, gram)
     bits = np.zeros(len(table), np.int64)
     first, last = low.copy(), high.copy()
     if len(at):
-        key = mixed(keys[at, start] + np.uint64(0x9E3779B97F4A7C15) * start.astype(np.uint64)) ^ mixed(
-            grams_[at].view(np.uint64), 17
-        )
         order = np.argsort(key, kind="stable")
         cuts = run_starts(key[order])
         sizes = np.diff(np.append(cuts, len(order)))
@@ -162,19 +180,98 @@ def repeated_windows(
     return bits, first, last
 
 
+def _pieces(batches: Iterator[pd.DataFrame], most: int) -> Iterator[tuple[pd.DataFrame, bool]]:
+    """Frames of sorted rows, and whether a frame is part of one gram that is cut.
+
+    The first and last gram of a task may go on in another, and one of ``most`` rows or more
+    is given out in parts. All other frames hold whole grams. Holds a batch and ``most`` rows.
+    """
+    held, cut = None, None
+    for batch in batches:
+        if len(batch) == 0:
+            continue
+        cut = batch["gram"].iloc[0] if cut is None else cut
+        frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        starts = run_starts(frame["gram"].to_numpy())
+        end = starts[-1]
+        if end:
+            lead = starts[1] if frame["gram"].iloc[0] == cut else 0
+            if lead:
+                yield frame.iloc[:lead], True
+            if end > lead:
+                yield frame.iloc[lead:end], False
+        held = frame.iloc[end:]
+        if len(held) >= most:
+            cut = held["gram"].iloc[0]
+            yield held, True
+            held = None
+    if held is not None:
+        yield held, True
+
+
 def _extend(min_words: int, gram: int):
+    """Settled rows with their repeated windows; rows of cut grams with keys of windows instead.
+
+    Of the latter, bits tell the windows that have a key, first and last are the smallest and
+    largest document that has the row, and piece is the first row of those held together.
+    """
+    most, starts = MOST_ROWS, min_words - gram + 1
+
     def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         width = gram + 2 * (min_words - gram)
-        for frame in whole_runs(batches, ["gram"]):
+        for frame, cut in _pieces(batches, most):
             low, high = frame["low"].to_numpy(), frame["high"].to_numpy()
             table = np.frombuffer(b"".join(frame["words"]), np.uint32).reshape(len(frame), width)
-            bits, first, last = repeated_windows(frame["gram"].to_numpy(), table, low, high, min_words, gram)
-            out = frame[["gram", "around"]].assign(bits=bits, first=first, last=last)
+            hashes = frame["gram"].to_numpy()
+            if cut:
+                at, start, key = live_windows(hashes, table, low != high, min_words, gram, cut)
+                bits, keys = np.zeros(len(frame), np.int64), np.zeros((len(frame), starts), np.int64)
+                np.bitwise_or.at(bits, at, np.int64(1) << start.astype(np.int64))
+                keys[at, start] = key.view(np.int64)
+                out = frame[["gram", "around"]].assign(bits=bits, first=low, last=high, piece=frame["around"].iloc[0], keys=list(keys))
+            else:
+                bits, first, last = repeated_windows(hashes, table, low, high, min_words, gram)
+                out = frame[["gram", "around"]].assign(bits=bits, first=first, last=last, piece=0, keys=None)
             yield out[out["bits"] != 0]
 
     return extend
 
 
+def _resolve(rows: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
+    """Rows of one piece with those of their windows that are shared."""
+    shared = shared.sort_values("key")
+    keys, known = np.stack(rows["keys"].to_numpy()), shared["key"].to_numpy()
+    bits, first, last = np.zeros(len(rows), np.int64), rows["first"].to_numpy().copy(), rows["last"].to_numpy().copy()
+    if len(known):
+        at, start = np.nonzero((rows["bits"].to_numpy()[:, None] >> np.arange(keys.shape[1])) & 1)
+        place = np.minimum(np.searchsorted(known, keys[at, start]), len(known) - 1)
+        hit = known[place] == keys[at, start]
+        at, start, place = at[hit], start[hit], place[hit]
+        np.bitwise_or.at(bits, at, np.int64(1) << start.astype(np.int64))
+        np.minimum.at(first, at, shared["low"].to_numpy()[place])
+        np.maximum.at(last, at, shared["high"].to_numpy()[place])
+    out = rows[["gram", "around"]].assign(bits=bits, first=first, last=last)
+    return out[out["bits"] != 0]
+
+
+def _settled(found: DataFrame) -> DataFrame:
+    """What ``_extend`` gives, with the windows of cut grams settled: those two documents have.
+
+    A window that many rows of a piece have counts once, so that what is joined stays small.
+    """
+    cut = found.where("keys IS NOT NULL")
+    windows = cut.select("gram", "piece", "bits", "first", "last", F.posexplode("keys").alias("start", "key"))
+    windows = windows.where("(shiftright(bits, start) & 1) = 1").groupBy("gram", "piece", "key")
+    windows = durable(windows.agg(F.min("first").alias("low"), F.max("last").alias("high")))
+    extent = windows.groupBy("gram", "key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    shared = durable(extent.where("low <> high"))
+    hits = enrich(windows.select("gram", "piece", "key"), shared, ["gram", "key"], "inner", spread_by=["piece"])
+    hits = hits.select(F.col("gram").alias("of_gram"), F.col("piece").alias("of_piece"), "key", "low", "high")
+    opened = cut.groupBy("gram", "piece").cogroup(hits.groupBy("of_gram", "of_piece"))
+    opened = opened.applyInPandas(_resolve, "gram long, around long, bits long, first long, last long")
+    return found.where("keys IS NULL").drop("keys", "piece").unionByName(opened)
+
+
 def _spans(min_words: int, gram: int):
     side = min_words - gram
 
@@ -241,11 +338,14 @@ def repeated_spans(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.first("words").alias("words")
     )
     found = durable(
-        distinct.repartition("gram")
+        distinct.repartitionByRange("gram", "words")
         .sortWithinPartitions("gram", "words")
-        .mapInPandas(_extend(min_words, gram), "gram long, around long, bits long, first long, last long")
+        .mapInPandas(
+            _extend(min_words, gram),
+            "gram long, around long, bits long, first long, last long, piece long, keys array<long>",
+        )
     )
-    hits = around.select("gram", "around", "doc_id", "place").join(found, ["gram", "around"])
+    hits = around.select("gram", "around", "doc_id", "place").join(_settled(found), ["gram", "around"])
     dealt = hits.select("doc_id", "place", "bits", "first", "last").repartition("doc_id").sortWithinPartitions("doc_id")
     return dealt.mapInPandas(
         _spans(min_words, gram),

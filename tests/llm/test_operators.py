@@ -10,10 +10,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from aerowx.llm import suffix_dedup
 from aerowx.llm.components import components
 from aerowx.llm.digest_index import DigestIndex, exact_dedup
 from aerowx.llm.embed_dedup import embed_dedup
@@ -148,6 +150,43 @@ def test_repeated_spans_equal_all_windows(spark, corpus):
     assert len(words(cut[100])) == 120 and all(len(words(cut[k])) <= 52 for k in (101, 102, 103))
 
 
+def covered_words(pairs):
+    holders = defaultdict(set)
+    tokens = [(i, words(t)) for i, t in pairs if i is not None]
+    for i, w in tokens:
+        for k in range(len(w) - 49):
+            holders[tuple(w[k : k + 50])].add(i)
+    hit = lambda w, k: len(holders[tuple(w[k : k + 50])]) > 1
+    return {(i, x) for i, w in tokens for k in range(len(w) - 49) if hit(w, k) for x in range(k, k + 50)}
+
+
+def test_repeated_spans_of_a_cut_gram(spark, corpus, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MOST_ROWS", 3)
+    rng = random.Random(12)
+    line = sentence(rng, 30)
+    near = [sentence(rng, 25) for _ in range(4)]
+    # One frequent sentence in ever different text; some of it goes on alike on either side.
+    pairs = [*corpus, *[(1000 + k, f"{sentence(rng, 60)} {line} {sentence(rng, 60)}") for k in range(60)]]
+    pairs += [(2000 + k, f"{sentence(rng, 9)} {near[k % 4]} {line} {near[k % 3]} {sentence(rng, 9)}") for k in range(24)]
+    got = repeated_spans(documents(spark, pairs)).collect()
+    assert {(r.doc_id, r.start_word + k) for r in got for k in range(r.n_words)} == covered_words(pairs)
+    assert {r.doc_id for r in got} >= set(range(2000, 2024))
+
+
+def test_a_task_holds_a_bounded_part_of_a_gram():
+    taken = []
+
+    def batches():
+        for k in range(20):
+            taken.append(k)
+            rows = np.random.default_rng(k).integers(1, 1 << 31, (1000, 92)).astype(np.uint32)
+            ids = np.arange(1000) + 1000 * k
+            yield pd.DataFrame({"gram": 7, "around": ids, "low": ids, "high": ids + 1, "words": [r.tobytes() for r in rows]})
+
+    next(suffix_dedup._extend(50, 8)(batches()))
+    assert len(taken) <= 5
+
+
 def test_exact_dedup_and_a_second_batch(spark, corpus):
     rows = exact_dedup(documents(spark, corpus)).collect()
     by_text = defaultdict(list)
