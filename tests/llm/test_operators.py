@@ -424,6 +424,23 @@ def test_pages_with_content_elements():
         assert [t for level, t in blocks if level == top] == want
 
 
+def test_html_of_near_copies(spark):
+    rng = random.Random(9)
+    head, foot = "Welcome to our site which you should read every single day", "All the best links of the whole week are here"
+    rows, want = [], {}
+    for k in range(4):
+        paragraphs = [" ".join(sentence(rng, 40).split()) for _ in range(3)]
+        # The last page of each host stands there in 2 or 30 versions that differ in one word.
+        for v in range([1, 2, 1, 30][k]):
+            text = [*paragraphs, f"Seen by {v} readers up to this very day of the year"]
+            page = 100 * k + v
+            rows.append((page, f"https://h{k // 2}.org/{k}?page={v}", f"<div>{head}</div>" + "".join(f"<p>{t}</p>" for t in text) + f"<div>{foot}</div>"))
+            want[page] = paragraphs
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for page, paragraphs in want.items():
+        assert got[page].split("\n")[:3] == paragraphs and head not in got[page] and foot not in got[page]
+
+
 def test_html_by_host(spark):
     rng = random.Random(8)
     rows, want = [], {}
