@@ -14,6 +14,7 @@ from .lm import lm_score
 from .mixing import mix
 from .ngram_join import ngram_join
 from .packing import pack
+from .phrases import collocations
 from .shared import LOWER, UPPER, table
 from .suffix_dedup import repeated_spans
 from .toxicity import toxicity
@@ -62,6 +63,10 @@ def op10_source_mix(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", F.col("copies"))
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -75,6 +80,7 @@ QUERIES = {
         op8_lm_score,
         op9_license_lookup,
         op10_source_mix,
+        op11_phrase_collocations,
     )
 }
 
@@ -144,6 +150,34 @@ SELECT doc_id, start_word, n_words, CASE WHEN low <> doc_id THEN low ELSE high E
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op11_phrase_collocations": f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+sized AS (SELECT lang, w, unnest(range(1, 6)) AS m FROM words),
+placed AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM sized),
+known AS (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM placed
+    GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM known WHERE m >= 2),
+cuts AS (
+    SELECT lang, phrase, a, m, unnest(range(1, m)) AS k, w FROM candidates),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, n,
+           (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+    FROM cuts c JOIN totals USING (lang)
+    JOIN known x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+    JOIN known y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, w, m, a, unnest(range(2, m)) AS s FROM candidates WHERE m >= 3),
+starts AS (SELECT lang, w, a, s, unnest(range(1, m - s + 2)) AS i FROM inside),
+longer AS (SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS most FROM starts GROUP BY 1, 2)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score::BIGINT AS score
+FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * a
+QUALIFY rank <= 2000""",
     "op9_license_lookup": f"""
 WITH known AS (
     SELECT sha256(f) AS canonical_sha256, min(license_id) AS license_id FROM (
