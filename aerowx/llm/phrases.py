@@ -38,7 +38,9 @@ from .words import hash_words, mixed
 ENDS = ".,;:!?"
 _BREAKS = ENDS + "\n\v\f\r"
 _TABLE = bytes.maketrans((UPPER + _BREAKS + "\t").encode(), (LOWER + "\n" * len(_BREAKS) + " ").encode())
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
+#: Text whose fingerprints one share of the cells adds up, over all blocks.
+SHARE_BYTES = 8 << 20
 #: Pieces that the rows of a language are dealt over before they are ranked together.
 RANK_PIECES = 64
 
@@ -132,16 +134,22 @@ def _cells(keys: np.ndarray, bits: int) -> np.ndarray:
     return keys >> np.uint64(64 - bits)
 
 
+def _tally(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers of several arrays, sorted, and how often each stands in them."""
+    flat = np.concatenate(parts)
+    parts.clear()
+    flat.sort()
+    starts = run_starts(flat)
+    return flat[starts], np.diff(np.append(starts, len(flat)))
+
+
 def _send(longest: int, bits: int, shares: int, mask: int):
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_runs(batches, ["block"]):
             for a, b in slices(frame, ["block"]):
                 part = frame.iloc[a:b]
                 block = Block(part["text"], part["lang"], mask)
-                cells = np.sort(np.concatenate([_cells(block.fingerprints(n)[1], bits) for n in range(1, longest + 1)]))
-                starts = run_starts(cells)
-                counts = np.diff(np.append(starts, len(cells)))
-                cells = cells[starts]
+                cells, counts = _tally([_cells(block.fingerprints(n)[1], bits) for n in range(1, longest + 1)])
                 borders = (np.arange(1, shares, dtype=np.float64) * (2.0**bits / shares)).astype(np.uint64)
                 cuts = [0, *np.searchsorted(cells, borders).tolist(), len(cells)]
                 rows = [
@@ -241,7 +249,7 @@ def frequent_phrases(
     )
     texts = written(rows.mapInPandas(_numbered(block_bytes), "lang string, text string, block long"), "phrase-texts")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shares = max(1, -(-size // block_bytes))
+    shares = max(1, -(-size // SHARE_BYTES))
     bits = max(8, (2 * size).bit_length())
     sent = texts.mapInPandas(
         _send(longest, bits, shares, fingerprint_bits), "share long, block long, cells binary, counts binary"
