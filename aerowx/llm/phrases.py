@@ -23,6 +23,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,22 +42,21 @@ _BREAKS = ENDS + "\n\v\f\r"
 _TABLE = bytes.maketrans((UPPER + _BREAKS + "\t").encode(), (LOWER + "\n" * len(_BREAKS) + " ").encode())
 BLOCK_BYTES = 3 << 20
 #: Text whose fingerprints one share of the cells adds up, over all blocks.
-SHARE_BYTES = 8 << 20
+SHARE_BYTES = 4 << 20
 #: Pieces that the rows of a language are dealt over before they are ranked together.
 RANK_PIECES = 64
 
 
 class Block:
-    """The words of many texts in a row, with the piece and the language each stands in."""
+    """The words of many UTF-8 texts in a row, with the piece and the language each stands in."""
 
     def __init__(self, texts, langs, bits: int = 64):
-        parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-        self.data = b"\n".join(parts).translate(_TABLE)
+        self.data = b"\n".join(texts).translate(_TABLE)
         buffer = np.frombuffer(self.data, np.uint8)
         self.starts, self.ends, self.words = hash_words(self.data)
         self.piece = np.cumsum(buffer == 10, dtype=np.int64)[self.starts] if len(buffer) else np.empty(0, np.int64)
         self.names, code = np.unique(np.asarray(langs, object).astype(str), return_inverse=True)
-        text = np.searchsorted(np.cumsum([0] + [len(p) + 1 for p in parts]), self.starts, side="right") - 1
+        text = np.searchsorted(np.cumsum([0] + [len(t) + 1 for t in texts]), self.starts, side="right") - 1
         self.lang = code[text]
         seeds = [int.from_bytes(hashlib.blake2b(n.encode(), digest_size=8).digest(), "little") for n in self.names]
         self.seed = np.array(seeds, np.uint64)[self.lang]
@@ -103,31 +104,53 @@ class Block:
         return True
 
     def text(self, place: int) -> str:
-        return self.data[self.starts[place] : self.ends[place]].decode("utf-8", "surrogatepass")
+        return self.data[self.starts[place] : self.ends[place]].decode("utf-8", "replace")
 
 
 def _numbered(block_bytes: int):
-    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             numbers = []
-            for text in batch["text"]:
-                if held and held + len(text) > block_bytes:
+            for size in pc.binary_length(batch.column("text")).to_pylist():
+                if held and held + size > block_bytes:
                     block, held = block + 1, 0
-                held += len(text) + 1
+                held += size + 1
                 numbers.append(block)
-            yield batch.assign(block=np.array(numbers, np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], [*batch.schema.names, "block"])
 
     return numbered
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[str]]]:
+    """Number, texts and languages of each block; its rows stand together."""
+    block, texts, langs = None, [], []
+    for batch in batches:
+        numbers = batch.column("block").to_numpy()
+        starts = run_starts(numbers)
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(numbers)]):
+            if texts and numbers[a] != block:
+                yield block, texts, langs
+                texts, langs = [], []
+            block = int(numbers[a])
+            texts += batch.column("text").slice(a, b - a).cast(pa.binary()).to_pylist()
+            langs += batch.column("lang").slice(a, b - a).to_pylist()
+    if texts:
+        yield block, texts, langs
+
+
 def _pack(values: np.ndarray) -> bytes:
-    """Numbers with all first bytes first, then all second ones: empty high bytes compress to nothing."""
-    return np.ascontiguousarray(values, np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Numbers at the width that the largest needs, first bytes first: empty ones compress to nothing."""
+    most = int(values.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << (8 * w))
+    narrow = np.ascontiguousarray(values, f"u{width}")
+    return bytes([width]) + narrow.view(np.uint8).reshape(-1, width).T.tobytes()
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel()
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    return planes.T.copy().view(f"u{width}").ravel().astype(np.uint64)
 
 
 def _cells(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -144,20 +167,22 @@ def _tally(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _send(longest: int, bits: int, shares: int, mask: int):
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in whole_runs(batches, ["block"]):
-            for a, b in slices(frame, ["block"]):
-                part = frame.iloc[a:b]
-                block = Block(part["text"], part["lang"], mask)
-                cells, counts = _tally([_cells(block.fingerprints(n)[1], bits) for n in range(1, longest + 1)])
-                borders = (np.arange(1, shares, dtype=np.float64) * (2.0**bits / shares)).astype(np.uint64)
-                cuts = [0, *np.searchsorted(cells, borders).tolist(), len(cells)]
-                rows = [
-                    (k, part["block"].iloc[0], _pack(np.diff(cells[x:y], prepend=np.uint64(0))), _pack(counts[x:y]))
-                    for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:]))
-                    if x < y
-                ]
-                yield pd.DataFrame(rows, columns=["share", "block", "cells", "counts"])
+    borders = (np.arange(1, shares, dtype=np.float64) * (2.0**bits / shares)).astype(np.uint64)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, texts, langs in _blocks(batches):
+            block = Block(texts, langs, mask)
+            cells, counts = _tally([_cells(block.fingerprints(n)[1], bits) for n in range(1, longest + 1)])
+            cuts = [0, *np.searchsorted(cells, borders).tolist(), len(cells)]
+            parts = [(k, x, y) for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if x < y]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "share": pa.array([k for k, _, _ in parts], pa.int64()),
+                    "block": pa.array([number] * len(parts), pa.int64()),
+                    "cells": pa.array([_pack(np.diff(cells[x:y], prepend=np.uint64(0))) for _, x, y in parts], pa.binary()),
+                    "counts": pa.array([_pack(counts[x:y]) for _, x, y in parts], pa.binary()),
+                }
+            )
 
     return send
 
@@ -204,7 +229,7 @@ def _materialise(longest: int, bits: int, mask: int):
     def materialise(key, docs: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
         if len(docs) == 0:
             return pd.DataFrame({c: [] for c in columns})
-        block = Block(docs["text"], docs["lang"], mask)
+        block = Block([t.encode("utf-8", "surrogatepass") for t in docs["text"]], docs["lang"], mask)
         totals = np.bincount(block.lang, minlength=len(block.names))
         rows = [(name, 0, "", int(total)) for name, total in zip(block.names, totals)]
         if len(back):
@@ -247,11 +272,11 @@ def frequent_phrases(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    texts = written(rows.mapInPandas(_numbered(block_bytes), "lang string, text string, block long"), "phrase-texts")
+    texts = written(rows.mapInArrow(_numbered(block_bytes), "lang string, text string, block long"), "phrase-texts")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shares = max(1, -(-size // SHARE_BYTES))
     bits = max(8, (2 * size).bit_length())
-    sent = texts.mapInPandas(
+    sent = texts.mapInArrow(
         _send(longest, bits, shares, fingerprint_bits), "share long, block long, cells binary, counts binary"
     )
     back = (
