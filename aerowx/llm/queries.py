@@ -9,17 +9,21 @@ from . import licenses
 from .digest_index import exact_dedup
 from .embed_dedup import embed_dedup
 from .html_extract import extract_main_text
+from .language import predict_language
 from .licenses import license_lookup
 from .lm import lm_score
 from .mixing import mix
 from .ngram_join import ngram_join
 from .packing import pack
 from .phrases import collocations
+from .repair import damaged, repair
+from .repair_sql import REPAIR_SQL
 from .shared import LOWER, UPPER, table
 from .suffix_dedup import repeated_spans
 from .toxicity import toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_html_text(spark, sf_dir):
@@ -67,6 +71,14 @@ def op11_phrase_collocations(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
 
 
+def op12_conversation_repair(spark, sf_dir):
+    return repair(damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_language_id(spark, sf_dir):
+    return predict_language(table(spark, sf_dir, "documents"), PIECES)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,6 +93,8 @@ QUERIES = {
         op9_license_lookup,
         op10_source_mix,
         op11_phrase_collocations,
+        op12_conversation_repair,
+        op13_language_id,
     )
 }
 
@@ -150,6 +164,7 @@ SELECT doc_id, start_word, n_words, CASE WHEN low <> doc_id THEN low ELSE high E
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_conversation_repair": REPAIR_SQL,
     "op11_phrase_collocations": f"""
 WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
