@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +42,9 @@ SHARED = 2000.0
 LIFT = 6.0
 #: Words whose scores a task remembers.
 REMEMBERED = 400_000
-GROUP_BYTES = 4 << 20
+#: Texts, and then words, that are scored together.
+GROUP_BYTES = 1 << 20
+GROUP_WORDS = 1 << 14
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SLOT_BITS = 20
 _LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -187,10 +190,13 @@ class Model:
 
     def word_scores(self, words: list[bytes]) -> np.ndarray:
         """log p of each word in each language."""
-        cut = [units_of(w) for w in words]
-        lattice = Lattice([u for units in cut for u in units], self.pieces)
-        sums = lattice.log_sums(self.lifted[lattice.piece])
-        return np.add.reduceat(sums, np.cumsum([0] + [len(u) for u in cut[:-1]]), axis=0)
+        scores = []
+        for k in range(0, len(words), GROUP_WORDS):
+            cut = [units_of(w) for w in words[k : k + GROUP_WORDS]]
+            lattice = Lattice([u for units in cut for u in units], self.pieces)
+            sums = lattice.log_sums(self.lifted[lattice.piece])
+            scores.append(np.add.reduceat(sums, np.cumsum([0] + [len(u) for u in cut[:-1]]), axis=0))
+        return np.concatenate(scores)
 
 
 def _lifted(expected: np.ndarray, pieces: Pieces, shared: float) -> np.ndarray:
@@ -305,13 +311,13 @@ def _predict(model: Model):
         memory = Memory(model)
         names = np.array(model.langs, object)
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            texts = batch.column("text")
             sums = np.zeros((len(texts), len(names)))
             begin, held = 0, 0
-            for k, text in enumerate(texts):
-                held += len(text)
+            for k, size in enumerate(pc.binary_length(texts).to_pylist()):
+                held += size
                 if held >= GROUP_BYTES or k + 1 == len(texts):
-                    sums[begin : k + 1] = memory.texts(texts[begin : k + 1])
+                    sums[begin : k + 1] = memory.texts(texts.slice(begin, k + 1 - begin).cast(pa.binary()).to_pylist())
                     begin, held = k + 1, 0
             logits = sums + model.share
             best = logits.argmax(axis=1) if len(texts) else np.empty(0, np.int64)
