@@ -29,5 +29,5 @@ def test_stages_drop_only_what_they_name(spark):
 
 
 def test_queries_are_named_by_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(ORACLE) <= set(QUERIES) and corpus_pipeline.ORACLE_SQL is None
