@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from ..functions import numbers
 from ..functions.hashing import seeded_hash
 from ..operators import numbering, sampling
+from ..session import shared_folder
+from ..sinks import batches
+from ..training_files import read_set, write_set
 from .registry import query, table
 
 
@@ -123,3 +126,40 @@ def batch_examples(spark, folder):
         F.max("event_id").alias("last_id"),
         F.array_join(ids, ",").alias("ids"),
     )
+
+
+@query(
+    f"""
+    WITH numbered AS (
+        SELECT *, row_number() OVER (ORDER BY {_draw(2, 'vec_id')}, vec_id) - 1 AS n, count(*) OVER () AS total
+        FROM embeddings),
+    batched AS (
+        SELECT *, least(n // 20, greatest(total // 20 - 1, 0)) AS batch_id FROM numbered),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY n) - 1 AS example,
+               count(*) OVER (PARTITION BY batch_id) AS n_examples FROM batched),
+    spread AS (
+        SELECT batch_id, CAST(n_examples AS INTEGER) AS n_examples, CAST(example AS INTEGER) AS example,
+               unnest(embedding) AS value, generate_subscripts(embedding, 1) - 1 AS pos, label FROM placed)
+    SELECT batch_id, n_examples, example, CAST(pos AS INTEGER) AS pos, CAST(value AS FLOAT) AS value,
+           CAST(label AS FLOAT) AS label
+    FROM spread
+    """
+)
+def training_files(spark, folder):
+    """All 8 by 8 tiles as a committed set of files, read back value by value."""
+    tiles = table(spark, folder, "embeddings").select(
+        "vec_id",
+        F.col("embedding").cast("array<float>").alias("inputs"),
+        F.array(F.col("label").cast("float")).alias("labels"),
+        seeded_hash(2, "vec_id").alias("example_no"),
+    )
+    batch = numbering.with_batch(tiles.select("example_no", "vec_id"), ["example_no", "vec_id"], 20)
+    home = shared_folder(spark, "training-files")
+    write_set(batches(tiles.join(batch, ["example_no", "vec_id"])), home, (8, 8, 1), (1, 1, 1))
+    found = read_set(spark, home).select("batch_id", "n_examples", "labels", F.posexplode("inputs").alias("at", "value"))
+    example = F.expr("at div 64").cast("int")
+    return found.select(
+        "batch_id", "n_examples", example.alias("example"), (F.col("at") % 64).alias("pos"), "value",
+        F.get("labels", example).alias("label"),
+    )

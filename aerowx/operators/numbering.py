@@ -3,43 +3,79 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import durable
-
+#: Sampled keys for each range: ranges then differ in size by about a seventh.
+KEYS_PER_RANGE = 50
 _IN_PARTITION = (1 << 33) - 1
 
 
-def _placed(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+def key_sketch(df: DataFrame, order_by: Sequence[str], size: int) -> DataFrame:
+    """The ``size`` keys with the least hashes, a fair sample of the distinct keys.
+
+    Two sketches merge by keeping the least of both, which is how a top-k runs. Nothing in it
+    depends on how rows are dealt out.
+    """
+    keys = df.select(*order_by).withColumn("_hash", F.xxhash64(*order_by))
+    return keys.orderBy("_hash", *order_by).limit(size).drop("_hash")
+
+
+def range_bounds(df: DataFrame, order_by: Sequence[str], ranges: int) -> Column:
+    """Bounds that cut the keys of ``df`` into about equal ranges, as a value that no longer moves.
+
+    Read once here, at most ``ranges`` keys; the column holds them as data of its own.
+    """
+    sketch = key_sketch(df, order_by, ranges * KEYS_PER_RANGE)
+    whole = F.array_sort(F.collect_set(F.struct(*order_by)))
+    step = F.greatest(F.lit(1), F.ceil(F.size("all") / F.lit(ranges))).cast("int")
+    picked = F.expr("filter(all, (k, i) -> i > 0 AND i % step = 0)").alias("bounds")
+    found = sketch.agg(whole.alias("all")).withColumn("step", step).select(picked)
+    kept = df.sparkSession.createDataFrame(found.collect(), found.schema)
+    return kept.scalar()
+
+
+def range_of(bounds: str, order_by: Sequence[str], ranges: int) -> Column:
+    """How many of the bounds in a column are not above a row's key: a binary search, from the largest step down."""
+    steps = [1 << k for k in reversed(range(max(1, ranges).bit_length()))]
+    key = F.struct(*order_by)
+
+    def further(at: Column, step: Column) -> Column:
+        # Past the last bound there is NULL, which is no reason to go on.
+        return F.when(F.get(F.col(bounds), at + step - 1) <= key, at + step).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further)
+
+
+def _placed(df: DataFrame, order_by: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Add ``_number``, 0-based in the given order, and ``_total``.
 
-    Rows are range-partitioned and sorted once, and each partition adds its rows to
-    the count of those before it; one row per partition is all that meets in a
-    single task. The sorted rows are read twice, so they are written to the
-    checkpoint folder first: a recomputed sort could cut its ranges elsewhere.
+    Three passes and no copy: a sketch of the keys gives bounds, rows are counted per range, and
+    each range is a partition that is sorted by itself and goes on from the count of the ranges before it. A
+    recomputed pass meets the same bounds. One number per range passes through the driver.
     """
-    ordered = durable(df.repartitionByRange(*order_by).sortWithinPartitions(*order_by))
-    parted = ordered.withColumn("_part", F.spark_partition_id())
-    every = Window.orderBy("_part")
-    before = every.rowsBetween(Window.unboundedPreceding, -1)
-    whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = (
-        parted.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            "_part",
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-            F.sum("_rows").over(whole).alias("_total"),
-        )
-    )
+    if ranges is None:
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = range_bounds(df, order_by, ranges)
+    narrow = df.select(*order_by).withColumn("_bounds", bounds)
+    counted = narrow.select(range_of("_bounds", order_by, ranges).alias("_range")).groupBy("_range").count()
+    rows = {r["_range"]: r["count"] for r in counted.collect()}
+    sizes = [rows.get(k, 0) for k in range(max(rows, default=0) + 1)]
+    before = list(accumulate(sizes, initial=0))
+    offsets = F.array(*[F.lit(n).cast(T.LongType()) for n in before[:-1]])
     place = F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION))
     return (
-        parted.withColumn("_place", place)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn("_number", F.col("_before") + F.col("_place"))
-        .drop("_part", "_place", "_before")
+        df.withColumn("_bounds", bounds)
+        .withColumn("_range", range_of("_bounds", order_by, ranges))
+        .drop("_bounds")
+        .repartitionById(len(sizes), "_range")
+        .sortWithinPartitions(*order_by)
+        .withColumn("_number", F.get(offsets, F.col("_range")) + place)
+        .withColumn("_total", F.lit(before[-1]).cast(T.LongType()))
+        .drop("_range")
     )
 
 
@@ -49,7 +85,8 @@ def numbered(
     """Number all rows in the given order, without gaps.
 
     ``order_by`` should be a key of the rows: then ranges of it split evenly, also
-    where one leading value holds most of the table.
+    where one leading value holds most of the table. ``df`` is computed three times,
+    twice for its keys alone, and must come out alike each time.
     """
     return (
         _placed(df, order_by)

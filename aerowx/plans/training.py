@@ -211,5 +211,7 @@ def training_batches(
         day_column,
     ).where(F.col("band").isin([C.PRECIPITATION_BAND, *imager_bands]))
     examples = training_examples(needed, grid, points, imager_bands, patch_size)
-    mixed = examples.withColumn("example_no", seeded_hash(seed, *POINT))
-    return with_batch(mixed, ["example_no", *POINT], min_batch_size), rejected
+    # Numbers come from the points, which are narrow; their patches are made once.
+    mixed = points.select(*POINT).distinct().withColumn("example_no", seeded_hash(seed, *POINT))
+    batch = with_batch(mixed, ["example_no", *POINT], min_batch_size)
+    return enrich(examples, batch, list(POINT), "inner", hot_rows=None), rejected

@@ -100,3 +100,37 @@ def test_one_cell_per_stratum(spark):
     assert found.join(cells, ["at", "row", "col", "stratum"]).count() == found.count() == 6
     text = found._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in text
+
+
+def test_numbers_follow_the_order_whatever_the_ranges_and_types(spark, plan_of):
+    df = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 'HOT', if(id % 7 = 0, null, concat('k', id % 50))) as k",
+        "date_add(date'2023-01-01', cast(id % 11 as int)) as d",
+        "if(id % 13 = 0, null, cast(id % 17 as double) / 4) as v",
+        "id",
+        "cast(id as decimal(12, 2)) as m",
+    )
+    order = ["k", "d", "v", "m"]
+    want = [r.id for r in df.orderBy(*order).collect()]
+    for parts in (1, 7):
+        found = numbering.numbered(df.repartition(parts), order)
+        assert [r.id for r in sorted(found.collect(), key=lambda r: r.record_id)] == want
+        assert sorted(r.record_id for r in found.collect()) == list(range(1, 3001))
+    text = plan_of(found)
+    assert "RDDScan" not in text and "ExistingRDD" not in text and "SinglePartition" not in text
+
+
+def test_ranges_are_even_and_stay_where_they_are(spark):
+    df = spark.range(40_000).selectExpr("if(id % 3 = 0, 0, id % 10) as k", "id")
+    sizes = []
+    for parts in (2, 9):
+        placed = df.repartition(parts).withColumn("b", numbering.range_bounds(df.repartition(parts), ["k", "id"], 8))
+        ranges = placed.select(numbering.range_of("b", ["k", "id"], 8).alias("r")).groupBy("r").count()
+        sizes.append(sorted(tuple(r) for r in ranges.collect()))
+    assert sizes[0] == sizes[1] and len(sizes[0]) == 8
+    assert max(n for _, n in sizes[0]) < 2 * min(n for _, n in sizes[0])
+
+
+def test_numbering_nothing(spark):
+    empty = spark.range(0)
+    assert numbering.numbered(empty, ["id"]).count() == 0 and numbering.with_batch(empty, ["id"], 3).count() == 0

@@ -8,6 +8,7 @@ from aerowx import sinks
 from aerowx.operators import lookups, quality
 from aerowx.operators.conform import cast_to
 from aerowx.sources import files, jdbc
+from aerowx.training_files import read_set, write_set
 
 
 def test_appending_twice_adds_nothing(spark, rows):
@@ -110,3 +111,39 @@ def test_rows_without_a_key_are_all_new(spark):
 def test_only_identifiers_name_tables(spark):
     with pytest.raises(ValueError):
         sinks.recreate_table(spark, "a; DROP TABLE b", None)
+
+
+def test_a_training_set_appears_whole_and_is_replaced_whole(spark, tmp_path, rows):
+    folder = str(tmp_path / "set")
+    arrays = ["array(array(float(id), 2f)) as inputs", "array(array(float(-id))) as labels"]
+    df = spark.range(40).repartition(3).selectExpr("id as batch_id", *arrays)
+    shapes = ((1, 2, 1), (1, 1, 1))
+    entry = write_set(df, folder, *shapes, name="a")
+    assert (entry["files"], entry["examples"]) == (40, 40)
+    write_set(df.where("batch_id < 3"), folder, *shapes, name="b")
+    # The same set again: nothing of the first run stays, and the other set does.
+    write_set(df.where("batch_id < 5"), folder, *shapes, name="a")
+    assert read_set(spark, folder).count() == 8
+    assert rows(read_set(spark, folder, "a"))[4] == (4, 1, [4.0, 2.0], [-4.0])
+    before = rows(read_set(spark, folder, "b"))
+    # A task fails after others have written: the set stays as it was, and no file is left.
+    broken = df.selectExpr("batch_id", "if(batch_id = 33, array(array(1f)), inputs) as inputs", "labels")
+    with pytest.raises(Exception):
+        write_set(broken, folder, *shapes, name="b")
+    assert rows(read_set(spark, folder, "b")) == before
+    assert len(list((tmp_path / "set" / "data").iterdir())) == 2
+    write_set(df.limit(0), folder, *shapes, name="none", replace_others=True)
+    assert read_set(spark, folder).count() == 0 and not list((tmp_path / "set").glob("data/*/*/*.npz"))
+    with pytest.raises(ValueError):
+        write_set(df, folder, *shapes, name="../x")
+
+
+def test_files_that_no_manifest_names_are_not_read(spark, tmp_path):
+    folder = str(tmp_path / "set")
+    df = spark.range(6).selectExpr("id as batch_id", "array(1f) as inputs", "array(2f) as labels")
+    write_set(df, folder, (1, 1, 1), (1, 1, 1))
+    stray = next((tmp_path / "set" / "data").iterdir()) / "99-99"
+    stray.mkdir()
+    (stray / "_list.json").write_text("[7]")
+    (stray / "7.npz").write_bytes(b"half a file")
+    assert read_set(spark, folder).count() == 6
