@@ -211,6 +211,13 @@ def lagged_features(spark, folder):
     return raster.lagged_features(scenes, _points(scenes), _HOURS, "purchase")
 
 
+@query(_lagged_sql("arg_min"))
+def lagged_by_bitmap(spark, folder):
+    """The same with the wanted cells as bitmaps, as where they are too many to broadcast."""
+    scenes = pixels(spark, folder)
+    return raster.lagged_features(scenes, _points(scenes), _HOURS, "purchase", max_rows=0)
+
+
 @query(_lagged_sql("arg_max"))
 def lagged_latest(spark, folder):
     scenes = pixels(spark, folder)

@@ -28,6 +28,20 @@ def sample_k(spark, folder):
     return sampling.sample_k(orders, 10, ["o_orderkey"], seed=7)
 
 
+@query(
+    f"""
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity FROM lineitem
+    ORDER BY {_draw(4, 'l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber')},
+             l_orderkey, l_partkey, l_suppkey, l_linenumber LIMIT 4000
+    """
+)
+def sample_k_refined(spark, folder):
+    """A sample whose border is found by counts of hashes; no task sorts more than the border."""
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    lines = table(spark, folder, "lineitem").select(*keys, "l_quantity")
+    return sampling.sample_k(lines, 4000, keys, seed=4, one_task=50)
+
+
 _BINS = """
     binned AS (
         SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey, CAST(month(l_shipdate) AS INTEGER) AS month,

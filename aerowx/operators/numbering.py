@@ -34,8 +34,8 @@ def range_bounds(df: DataFrame, order_by: Sequence[str], ranges: int) -> Column:
     step = F.greatest(F.lit(1), F.ceil(F.size("all") / F.lit(ranges))).cast("int")
     picked = F.expr("filter(all, (k, i) -> i > 0 AND i % step = 0)").alias("bounds")
     found = sketch.agg(whole.alias("all")).withColumn("step", step).select(picked)
-    kept = df.sparkSession.createDataFrame(found.collect(), found.schema)
-    return kept.scalar()
+    # An Arrow table of this size becomes a local relation, so no later pass looks at the rows again.
+    return df.sparkSession.createDataFrame(found.toArrow(), found.schema).scalar()
 
 
 def range_of(bounds: str, order_by: Sequence[str], ranges: int) -> Column:

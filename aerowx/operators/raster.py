@@ -22,6 +22,9 @@ from ..functions.times import col, ntz, shift_hours, slot
 from .joins import fits_broadcast
 
 CELL = ["row", "col"]
+#: Bitmaps that are broadcast at most, and what a row of them takes.
+BITMAP_BYTES = 128 << 20
+BITMAP_ROW = 4200
 
 
 def scene_window(
@@ -248,6 +251,38 @@ def _choose(pick: str):
     return F.min_by if pick == "earliest" else F.max_by
 
 
+def _in_tile() -> tuple[dict[str, Column], Column]:
+    """A cell's tile, and its place there: 128 rows of 256 cells, as many as a bitmap has bits."""
+    tile = {"_tile_row": F.shiftright("row", 7), "_tile_col": F.shiftright("col", 8)}
+    row, column = F.col("row").bitwiseAND(F.lit(127)), F.col("col").bitwiseAND(F.lit(255))
+    return tile, (row * 256 + column).cast("bigint")
+
+
+def cell_bitmaps(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The cells as bitmaps of 4 KB, one per tile and value of ``by``; each task merges its own first."""
+    tile, place = _in_tile()
+    keyed = cells.where(F.col("row").isNotNull() & F.col("col").isNotNull()).select(*by, *[c.alias(n) for n, c in tile.items()], place.alias("_place"))
+    return keyed.groupBy(*by, *tile).agg(F.bitmap_construct_agg("_place").alias("_bits"))
+
+
+def in_bitmaps(
+    pixels: DataFrame, bitmaps: DataFrame, by: Sequence[str] = (), max_bytes: int = BITMAP_BYTES
+) -> DataFrame:
+    """Pixels whose cell is set in the bitmap of its tile.
+
+    A semi-join whose right side has a row per tile instead of one per cell, so a hundredfold of
+    cells fits the broadcast; beyond ``max_bytes`` of bitmaps the tiles are merged.
+    """
+    tile, place = _in_tile()
+    keys = [*by, *tile]
+    small = fits_broadcast(bitmaps.select(*keys), max_bytes // BITMAP_ROW, max_bytes)
+    placed = pixels.withColumns({**tile, "_place": place})
+    found = placed.join(F.broadcast(bitmaps) if small else bitmaps.hint("merge"), keys)
+    byte = F.expr("cast(conv(hex(substring(_bits, cast(_place div 8 as int) + 1, 1)), 16, 10) as bigint)")
+    bit = F.expr("cast(_place % 8 as int)")
+    return found.where(F.call_function("shiftright", byte, bit).bitwiseAND(F.lit(1)) == 1).select(*pixels.columns)
+
+
 def _nearest(
     pixels: DataFrame,
     probes: DataFrame,
@@ -279,15 +314,14 @@ def _nearest(
     valid = pixels.where(F.col("value").isNotNull()).select(
         *CELL, "band", "scene_ts", "value", slot("scene_ts", slices_per_day).alias("_slice")
     )
-    # Only pixels of wanted cells and slices go on, or of wanted cells where those are too many
-    # to broadcast. Distinct before the slices are multiplied out, and after; without the
-    # band, which would multiply them again.
-    cells = placed.select(*CELL, *span).distinct()
-    for wanted in (cells.select(*CELL, each).distinct(), cells.select(*CELL).distinct()):
-        if fits_broadcast(wanted, **bounds):
-            valid = valid.join(F.broadcast(wanted), wanted.columns, "left_semi")
-            valid = valid.select(*place, "scene_ts", "value")
-            break
+    # Only pixels of wanted cells and slices go on. Distinct before the slices are multiplied out,
+    # and after; without the band, which would multiply them again.
+    wanted = placed.select(*CELL, *span).distinct().select(*CELL, each).distinct()
+    if fits_broadcast(wanted, **bounds):
+        valid = valid.join(F.broadcast(wanted), wanted.columns, "left_semi")
+    else:
+        valid = in_bitmaps(valid, cell_bitmaps(wanted, ["_slice"]), ["_slice"])
+    valid = valid.select(*place, "scene_ts", "value")
 
     # Earliest reads time backwards: the last pixel before a probe in that order is the
     # first one from its window's start on. A pixel on the start counts, one on the end does not.

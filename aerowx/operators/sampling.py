@@ -8,18 +8,49 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import seeded_hash
+from ..functions.hashing import HASH_BITS, seeded_hash
 from ..functions.times import ntz
 
+#: Rows that a sample may sort in one task, and hash bits that one pass of counts tells apart.
+ONE_TASK = 100_000
+STEP_BITS = 12
 
-def sample_k(df: DataFrame, k: int, keys: Sequence[str], seed: int = 0) -> DataFrame:
-    """Exactly k rows (all, if there are fewer), chosen by a hash of their keys."""
-    return (
-        df.withColumn("_draw", seeded_hash(seed, *keys))
-        .orderBy("_draw", *keys)
-        .limit(k)
-        .drop("_draw")
-    )
+
+def sample_k(
+    df: DataFrame, k: int, keys: Sequence[str], seed: int = 0, one_task: int = ONE_TASK
+) -> DataFrame:
+    """Exactly k rows (all, if there are fewer), chosen by a hash of their keys.
+
+    Up to ``one_task`` rows the smallest hashes meet in one task. For more, counts of the hashes by
+    their leading bits find where the k-th lies, then by the bits after those, until few
+    rows remain at the border: a hash below it is taken where it stands, and only the border's rows
+    are sorted. ``keys`` should tell rows apart; ``df`` is read once more for each step.
+    """
+    drawn = df.withColumn("_draw", seeded_hash(seed, *keys))
+    if k <= one_task:
+        return drawn.orderBy("_draw", *keys).limit(k).drop("_draw")
+    low, wanted, bits, border = 0, k, HASH_BITS, drawn
+    while bits and wanted:
+        step = min(STEP_BITS, bits)
+        bits -= step
+        part = F.shiftright(F.col("_draw") - F.lit(low), bits).alias("part")
+        counts = border.select(part).groupBy("part").count().orderBy("part").collect()
+        if sum(r["count"] for r in counts) <= wanted:
+            # Fewer rows than wanted: all of them.
+            low, wanted = low + (1 << (bits + step)), 0
+            break
+        for r in counts:
+            if r["count"] > wanted:
+                break
+            wanted -= r["count"]
+        low += r["part"] << bits
+        border = drawn.where((F.col("_draw") >= low) & (F.col("_draw") < low + (1 << bits)))
+        if r["count"] <= one_task:
+            break
+    taken = drawn.where(F.col("_draw") < low)
+    if wanted:
+        taken = taken.unionByName(border.orderBy("_draw", *keys).limit(wanted))
+    return taken.drop("_draw")
 
 
 def _ranked(df: DataFrame, groups: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:

@@ -135,12 +135,26 @@ def test_values_at_agree_with_brute_force(spark, pick, per_day, hours, small):
 
 
 def test_a_busy_cell_gives_no_pairs(spark):
-    """Probes and pixels of one cell pass through a sort; no join brings them together."""
+    """Probes and pixels of one cell pass through a sort; the one join is with bitmaps of tiles."""
     pixels = spark.createDataFrame([(T0, 0, 0, BAND, 1.0)], SCHEMA)
     points = spark.createDataFrame([(T0, 0, 0)], "at timestamp_ntz, row int, col int")
     plan = raster.lagged_features(pixels, points, {"h": 2}, BAND, max_rows=0)
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in text
+    assert text.count("Join") == 1 and "bitmap_construct_agg" in text
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
+def test_bitmaps_keep_the_listed_cells_only(spark, max_bytes):
+    draw = random.Random(8)
+    cell = lambda: (draw.randrange(-300, 300), draw.randrange(-600, 600), draw.randrange(2))
+    listed = [cell() for _ in range(400)] + [(-1, -1, 0), (127, 255, 1), (128, 256, 1), (None, 3, 0)]
+    asked = listed + [cell() for _ in range(2000)] + [(3, None, 0)]
+    schema = "row int, col int, day int"
+    bitmaps = raster.cell_bitmaps(spark.createDataFrame(listed, schema), ["day"])
+    found = raster.in_bitmaps(spark.createDataFrame(asked, schema), bitmaps, ["day"], max_bytes)
+    want = [a for a in asked if a in set(listed) and a[0] is not None]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+    assert bitmaps.count() < len(listed) / 4 and found.columns == ["row", "col", "day"]
 
 
 def test_mosaics_at_each_date(spark, scenes):

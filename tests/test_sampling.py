@@ -134,3 +134,17 @@ def test_ranges_are_even_and_stay_where_they_are(spark):
 def test_numbering_nothing(spark):
     empty = spark.range(0)
     assert numbering.numbered(empty, ["id"]).count() == 0 and numbering.with_batch(empty, ["id"], 3).count() == 0
+
+
+@pytest.mark.parametrize("k", [0, 1, 57, 700, 2999, 3000, 5000])
+def test_a_refined_sample_is_the_sorted_one(spark, k):
+    df = spark.range(3000).selectExpr("id", "id % 3 as part")
+    plain = {r.id for r in sampling.sample_k(df, k, ["id"], seed=9).collect()}
+    for one_task in (0, 5):
+        refined = [r.id for r in sampling.sample_k(df, k, ["id"], seed=9, one_task=one_task).collect()]
+        assert len(refined) == min(k, 3000) and set(refined) == plain
+
+
+def test_a_refined_sample_of_equal_keys(spark):
+    df = spark.range(500).selectExpr("id % 2 as k", "id")
+    assert sampling.sample_k(df, 300, ["k"], one_task=0).count() == 300
