@@ -23,7 +23,7 @@ from ..session import durable
 from .components import components
 from .ngram_join import tree
 from .runs import slices, whole_runs
-from .shared import written
+from .shared import id_text, written
 
 #: Axes that cells are cut along, and vectors to a side of a tile.
 CELL_AXES = 2
@@ -55,7 +55,7 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = [_clean(v) for v in batch["embedding"]]
         yield pd.DataFrame(
             {
-                "vec_id": batch["vec_id"].astype("Int64"),
+                "vec_id": batch["vec_id"],
                 "label": batch["label"],
                 "dims": [0 if v is None else len(v) for v in found],
                 "vector": [None if v is None else v.tobytes() for v in found],
@@ -191,11 +191,12 @@ def embed_dedup(
     """
     spark = vectors.sparkSession
     given = vectors.select(
-        F.col(id_col).cast("long").alias("vec_id"),
+        id_text(id_col).alias("vec_id"),
         F.col(label_col).cast("string").alias("label"),
         F.col(vector_col).cast("array<double>").alias("embedding"),
     )
-    read = given.mapInPandas(_read, "vec_id long, label string, dims int, vector binary")
+    read = given.mapInPandas(_read, "vec_id string, label string, dims int, vector binary")
+    read = read.withColumn("vec_id", F.col("vec_id").cast("long"))
     rows = written(read.withColumn("place", F.monotonically_increasing_id()), "vectors")
     able = rows.where("dims > 0 AND label IS NOT NULL AND vec_id IS NOT NULL")
     axes = spark.sparkContext.broadcast(_axes(able))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..session import durable
 from .runs import run_starts, slices, whole_runs
-from .shared import fold
+from .shared import fold, id_text
 from .words import grams, mixed, text_words
 
 ORDER = 2
@@ -227,7 +227,7 @@ def lm_score(
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     place = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int")
-    dealt = rows.withColumn("block", place).repartition(blocks, "block")
+    dealt = rows.withColumn("block", place).withColumn("doc_id", id_text("doc_id")).repartition(blocks, "block")
     sent = dealt.sortWithinPartitions("block").mapInPandas(
         _send(order, blocks), "share long, block int, keys binary, counts binary"
     )
@@ -241,9 +241,9 @@ def lm_score(
         .cogroup(back.groupBy("block"))
         .applyInPandas(
             _score(order, blocks, backoff, total or 0, known or 0),
-            "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
+            "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double",
         )
     )
     return scored.select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total or 0).cast("long").alias("train_tokens"), "base_score", "score"
+        F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(total or 0).cast("long").alias("train_tokens"), "base_score", "score"
     )

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import durable
 from .components import components
 from .runs import run_starts, slices, whole_runs
-from .shared import written
+from .shared import id_text, written
 from .words import mixed, shingle_set, text_words
 
 ORDERS = 3
@@ -75,13 +75,13 @@ def _scan(size: int):
                 digests.append(_digest(tokens) if len(tokens) else None)
                 np.add.at(counts, _cells(tokens), 1)
             yield pd.DataFrame(
-                {"doc_id": batch["doc_id"].astype("Int64"), "n": n, "digest": digests, "share": None, "counts": None}
+                {"doc_id": batch["doc_id"], "n": n, "digest": digests, "share": None, "counts": None}
             )
         shares = [k for k in range(CELLS // _SHARE) if counts[k * _SHARE : (k + 1) * _SHARE].any()]
         blobs = [zlib.compress(counts[k * _SHARE : (k + 1) * _SHARE].tobytes(), 1) for k in shares]
         none = [None] * len(shares)
         yield pd.DataFrame(
-            {"doc_id": pd.array(none, "Int64"), "n": pd.array(none, "Int64"), "digest": none, "share": shares, "counts": blobs}
+            {"doc_id": pd.Series(none, dtype=object), "n": pd.array(none, "Int64"), "digest": none, "share": shares, "counts": blobs}
         )
 
     return scan
@@ -123,9 +123,8 @@ def _combined(token: np.ndarray, node: np.ndarray, n: np.ndarray) -> pd.DataFram
     token, node, n = token[once], node[once], n[once]
     starts = run_starts(token)
     lengths = np.diff(np.append(starts, len(token)))
-    tie = pd.array(np.repeat(node[starts], lengths), "Int64")
-    tie[np.repeat(lengths <= FEW, lengths)] = pd.NA
-    return pd.DataFrame({"token": token, "node": node, "n": n, "tie": tie})
+    tie, tied = np.repeat(node[starts], lengths), np.repeat(lengths > FEW, lengths)
+    return pd.DataFrame({"token": token, "node": node, "n": n, "tie": tie, "tied": tied})
 
 
 def _bit(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +204,8 @@ def _pair_up(percent: int):
         for batch in batches:
             if len(batch) == 0:
                 continue
-            batch = batch.assign(tie=batch["tie"].astype("Int64"))
+            tie = pd.arrays.IntegerArray(batch["tie"].to_numpy(np.int64), ~batch["tied"].to_numpy(bool))
+            batch = batch.drop(columns="tied").assign(tie=tie)
             frame = batch if carry is None else pd.concat([carry, batch], ignore_index=True)
             cut = run_starts(frame["token"].to_numpy())[-1]
             carry = frame.iloc[cut:]
@@ -321,7 +321,7 @@ def _verify(size: int, percent: int):
 
 
 def _found(docs: DataFrame, emit, percent: int) -> DataFrame:
-    prefixes = docs.select("text").mapInPandas(emit, "token long, node long, n int, tie long")
+    prefixes = docs.select("text").mapInPandas(emit, "token long, node long, n int, tie long, tied boolean")
     dealt = prefixes.repartition("token").sortWithinPartitions("token", "node")
     return durable(dealt.mapInPandas(_pair_up(percent), "ord byte, a long, b long").distinct())
 
@@ -423,10 +423,10 @@ def ngram_join(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     scanned = written(
-        rows.mapInPandas(_scan(size), "doc_id long, n long, digest binary, share int, counts binary"), "scan"
+        rows.withColumn("doc_id", id_text("doc_id")).mapInPandas(_scan(size), "doc_id string, n long, digest binary, share int, counts binary"), "scan"
     )
     levels = docs.sparkSession.sparkContext.broadcast(_levels(scanned.where("share IS NOT NULL").select("share", "counts")))
-    members = scanned.where("share IS NULL").select("doc_id", "n", "digest")
+    members = scanned.where("share IS NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "n", "digest")
     classes = durable(
         members.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
     )

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import id_text, written
 
 CAPACITY = 2048
 END_ID = 1
@@ -111,8 +111,7 @@ def _pieces(path: str, capacity: int):
                 for at in range(0, len(ids), step):
                     part = ids[at : at + step]
                     rows.append((doc, at // 4, len(part) // 4, zlib.crc32(part), total))
-            frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-            yield frame.assign(doc_id=frame["doc_id"].astype("Int64"))
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return pieces
 
@@ -231,19 +230,20 @@ def pack(
     result.
     """
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+        id_text(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
     pieces = written(
         rows.mapInPandas(
-            _pieces(tokenizer, capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-        ),
+            _pieces(tokenizer, capacity), "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
+        ).withColumn("doc_id", F.col("doc_id").cast("long")),
         "pieces",
     )
     # One row per length, so at most ``capacity`` rows.
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots = docs.sparkSession.sparkContext.broadcast(_slots(plan(counts, capacity)))
-    columns = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+    columns = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
     numbered = ranked(pieces, "length", ["doc_id", "start", "ids_crc32", "doc_tokens"])
-    return numbered.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank").mapInPandas(
+    placed = numbered.select(id_text("doc_id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "rank").mapInPandas(
         _place(slots), f"{columns}, sequence_id long, offset long"
     )
+    return placed.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -43,6 +43,11 @@ def fold(doc_id: Column | str, folds: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % F.lit(folds), F.lit(-1))
 
 
+def id_text(name: str) -> Column:
+    """An id as text: pandas holds numbers beside a NULL as doubles, which rounds large ones."""
+    return F.col(name).cast("long").cast("string")
+
+
 def word_count(text: Column) -> Column:
     """Words of a whole text as a bigint; NULL has none."""
     found = F.size(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1)))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .shared import fold
+from .shared import fold, id_text
 
 #: At most so many labelled rows are learned from: those of the smallest hash of their id.
 SAMPLE_ROWS = 30_000
@@ -276,8 +276,9 @@ def toxicity(
     """
     features, weights = train(docs, labels, folds, held_fold, **options)
     model = docs.sparkSession.sparkContext.broadcast((features, weights))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = rows.mapInPandas(_scores(model), "doc_id long, score double")
+    rows = docs.select(id_text("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    scored = rows.mapInPandas(_scores(model), "doc_id string, score double")
+    scored = scored.withColumn("doc_id", F.col("doc_id").cast("long"))
     return scored.select(
         "doc_id",
         (fold("doc_id", folds) == held_fold).alias("held_out"),
