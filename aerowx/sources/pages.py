@@ -7,10 +7,10 @@ work is split like any other column.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -170,16 +170,18 @@ def html_tables(
     schema = T.StructType([*[pages.schema[k] for k in keys], *found.fields])
     tags = (container, row, tuple(cells), max_span)
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for page in batch.itertuples(index=False, name=None):
-                parser = _parsed(page[-1], tags)
+            page, out = [], []
+            for k, text in enumerate(batch.column(len(keys)).to_pylist()):
+                parser = _parsed(text, tags)
                 if parser.widest_span <= max_span:
-                    out.extend((*page[:-1], *line) for line in parser.rows)
-            yield pd.DataFrame(out, columns=schema.fieldNames())
+                    page += [k] * len(parser.rows)
+                    out += parser.rows
+            columns = zip(*out) if out else [()] * len(found.fields)
+            yield _with_keys(batch, len(keys), page, columns, schema)
 
-    return pages.select(*keys, html).mapInPandas(extract, schema)
+    return pages.select(*keys, html).mapInArrow(extract, schema)
 
 
 def span_rejects(
@@ -196,16 +198,25 @@ def span_rejects(
     schema = T.StructType([*[pages.schema[k] for k in keys], T.StructField("reason", T.StringType())])
     tags = (container, row, tuple(cells), max_span)
 
-    def reject(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def reject(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [
-                (*page[:-1], "span")
-                for page in batch.itertuples(index=False, name=None)
-                if _parsed(page[-1], tags).widest_span > max_span
-            ]
-            yield pd.DataFrame(out, columns=schema.fieldNames())
-
-    return pages.select(*keys, html).mapInPandas(reject, schema)
+            texts = batch.column(len(keys)).to_pylist()
+            page = [k for k, text in enumerate(texts) if _parsed(text, tags).widest_span > max_span]
+            yield _with_keys(batch, len(keys), page, [["span"] * len(page)], schema)
+
+    return pages.select(*keys, html).mapInArrow(reject, schema)
+
+
+def _with_keys(
+    batch: pa.RecordBatch, n_keys: int, rows: list[int], columns: Iterable[Sequence], schema: T.StructType
+) -> pa.RecordBatch:
+    """New columns beside the keys of the pages they come from, which no conversion touches."""
+    at = pa.array(rows, pa.int64())
+    arrays = [batch.column(k).take(at) for k in range(n_keys)]
+    kinds = {T.IntegerType(): pa.int32(), T.BooleanType(): pa.bool_(), T.StringType(): pa.string()}
+    fields = schema.fields[n_keys:]
+    arrays += [pa.array(list(c), kinds.get(f.dataType, pa.list_(pa.string()))) for c, f in zip(columns, fields)]
+    return pa.RecordBatch.from_arrays(arrays, schema.fieldNames())
 
 
 def _parsed(html: str | None, tags: tuple) -> _Tables:

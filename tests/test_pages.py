@@ -127,3 +127,16 @@ def test_one_version_of_a_row_is_laid_out(spark):
         spark.createDataFrame(rows, "page int, table_no int, row_no int, cells array<string>"), ["page"]
     )
     assert [(r.cells, r.width) for r in laid.collect()] == [(["a", "x", "y"], 3)]
+
+
+def test_large_keys_beside_null_stay_as_they_are(spark):
+    ids = [2**60 + 1, 2**60 + 3, None]
+    rows = [(i, "<table><tr><td>x</td></tr><tr><td>y</td></tr></table>") for i in ids]
+    rows += [(7, "<table><tr><td colspan=20000>z</td></tr></table>")]
+    df = spark.createDataFrame(rows, "page_id long, html string").coalesce(1)
+    found = html_tables(df, ["page_id"]).collect()
+    assert sorted((r.page_id, r.row_no, r.cells[0]) for r in found if r.page_id) == [
+        (i, k, c) for i in ids[:2] for k, c in enumerate("xy")
+    ]
+    assert sum(r.page_id is None for r in found) == 2
+    assert [tuple(r) for r in span_rejects(df, ["page_id"]).collect()] == [(7, "span")]

@@ -36,9 +36,9 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plans_have_no_pairs_and_no_row_python(spark, plan_of, name):
     text = plan_of(spark_entry.queries()[name](spark, FOLDER))
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert bad not in text
-    assert ("MapInPandas" in text) == (name in ("html_tables", "historic_from_pages"))
+    assert ("MapInArrow" in text) == (name in ("html_tables", "historic_from_pages"))
 
 
 @pytest.mark.parametrize(
