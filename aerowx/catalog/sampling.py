@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import numbers
 from ..functions.hashing import seeded_hash
 from ..operators import numbering, sampling
+from ..operators.flow import at_most_parallel
 from ..session import shared_folder
 from ..sinks import batches
 from ..training_files import read_set, write_set
@@ -170,7 +171,8 @@ def training_files(spark, folder):
     )
     batch = numbering.with_batch(tiles.select("example_no", "vec_id"), ["example_no", "vec_id"], 20)
     home = shared_folder(spark, "training-files")
-    write_set(batches(tiles.join(batch, ["example_no", "vec_id"])), home, (8, 8, 1), (1, 1, 1))
+    batched = batches(tiles.join(batch, ["example_no", "vec_id"]))
+    write_set(at_most_parallel(batched, 10, "batch_id"), home, (8, 8, 1), (1, 1, 1))
     found = read_set(spark, home).select("batch_id", "n_examples", "labels", F.posexplode("inputs").alias("at", "value"))
     example = F.expr("at div 64").cast("int")
     return found.select(

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .functions.curve import curve_key
 from .operators.flow import at_most_parallel
 from .operators.joins import fits_broadcast
 from .operators.sampling import first_per_key
@@ -42,6 +43,28 @@ def write_partitioned(
     even.write.mode(mode).partitionBy(*by).parquet(path)
 
 
+def write_by_curve(
+    pixels: DataFrame,
+    path: str,
+    origin: tuple[str, int, int],
+    files: int | None = None,
+    max_rows_per_file: int = 5_000_000,
+) -> None:
+    """Pixels in files and row groups that each cover a small box of days, rows and columns.
+
+    ``origin`` is the first day, row and column. Parquet's own least and largest values then let a
+    reader of one box and time skip most of the rest, whichever of the three it asks for. Times and
+    bands break ties, so the pixels of one crowded cell are split too.
+    """
+    day, row, column = origin
+    key = curve_key(F.datediff(F.col("scene_ts").cast("date"), F.lit(day).cast("date")), F.col("row") - row, F.col("col") - column)
+    keyed = pixels.withColumn("_curve", key)
+    order = ["_curve", "scene_ts", "band"]
+    ranges = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
+    ordered = ranges.sortWithinPartitions(*order).drop("_curve")
+    ordered.write.mode("overwrite").option("maxRecordsPerFile", max_rows_per_file).parquet(path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

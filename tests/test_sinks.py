@@ -5,6 +5,7 @@ import pytest
 
 from aerowx import contracts as C
 from aerowx import sinks
+from aerowx.functions.curve import curve_key
 from aerowx.operators import lookups, quality
 from aerowx.operators.conform import cast_to
 from aerowx.sources import files, jdbc
@@ -147,3 +148,38 @@ def test_files_that_no_manifest_names_are_not_read(spark, tmp_path):
     (stray / "_list.json").write_text("[7]")
     (stray / "7.npz").write_bytes(b"half a file")
     assert read_set(spark, folder).count() == 6
+
+
+def test_files_along_the_curve_cover_small_boxes(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rows = spark.range(64 * 32 * 32).selectExpr(
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 64 as int), 5) as scene_ts",
+        "cast(id div 64 % 32 as int) as row", "cast(id div 2048 as int) as col", "'b' as band", "1.0D as value",
+    )
+    path = tmp_path / "curve"
+    sinks.write_by_curve(rows, str(path), ("2024-01-01", 0, 0), files=64)
+    hit = {"day": 0, "row": 0, "col": 0}
+    parts = list(path.glob("*.parquet"))
+    for part in parts:
+        group = pq.ParquetFile(part).metadata.row_group(0)
+        by_name = {group.column(i).path_in_schema: group.column(i).statistics for i in range(group.num_columns)}
+        day = dt.datetime(2024, 1, 20, 5)
+        hit["day"] += by_name["scene_ts"].min <= day <= by_name["scene_ts"].max
+        hit["row"] += by_name["row"].min <= 9 <= by_name["row"].max
+        hit["col"] += by_name["col"].min <= 9 <= by_name["col"].max
+    # A sort by one dimension would read all files for the two others.
+    assert len(parts) == 64 and all(n <= 44 for n in hit.values()), hit
+    assert spark.read.parquet(str(path)).count() == 64 * 32 * 32
+
+
+def test_the_curve_takes_bits_in_turn(spark):
+    cells = [(x, y, z) for x in (0, 1, 5, 1 << 20) for y in (0, 3, 70) for z in (0, 2, 2_000_000)] + [(-4, 1 << 30, 0)]
+    df = spark.createDataFrame([*cells, (None, 1, 1)], "x long, y long, z long")
+    for r in df.select("*", curve_key("x", "y", "z").alias("k")).collect():
+        if r.x is None:
+            assert r.k is None
+            continue
+        clipped = [min(max(v, 0), (1 << 21) - 1) for v in (r.x, r.y, r.z)]
+        want = sum((v >> i & 1) << (3 * i + 2 - d) for d, v in enumerate(clipped) for i in range(21))
+        assert r.k == want
