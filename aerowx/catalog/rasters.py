@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import contracts as C
 from ..operators import patches, raster
 from ..plans import maps
-from ..plans.training import training_batches, training_examples
+from ..plans.training import sample_points, training_batches, training_examples
 from ..session import durable
 from .registry import PIXELS, TILES, pixels, query, table, tiles
 
@@ -304,6 +304,30 @@ def stratum_points(spark, folder):
     return raster.one_cell_per_stratum(_strata(spark, folder))
 
 
+_RING = [(-120.0, -20.0), (-40.0, -50.0), (-60.0, 40.0), (-115.0, 45.0)]
+_CROSSED = " + ".join(
+    f"CAST(((({y1}) > lat) != (({y2}) > lat)) AND lon < ({(x2 - x1) / (y2 - y1)!r}) * (lat - ({y1})) + ({x1}) AS INTEGER)"
+    for (x1, y1), (x2, y2) in zip(_RING, [*_RING[1:], _RING[0]])
+)
+_INSIDE = f"""max(value) * 12 AS elevation, "row" * CAST(1 AS DOUBLE) - 130 AS lon,
+               "col" * CAST(11 AS DOUBLE) - 55 AS lat
+        FROM pixels GROUP BY "row", "col" HAVING ({_CROSSED}) % 2 = 1),"""
+
+
+@query(
+    f"""
+    WITH {_STRATA.replace("max(value) * 12 AS elevation FROM pixels GROUP BY ALL),", _INSIDE)}
+    SELECT "at", stratum, "row", "col", lon, lat FROM points JOIN grid USING ("row", "col")
+    """
+)
+def training_points(spark, folder):
+    """Points of every stratum inside a region, with their coordinates."""
+    scenes = _rain_scenes(spark, folder)
+    lon, lat = F.col("row") * F.lit(1.0) - 130, F.col("col") * F.lit(11.0) - 55
+    grid = _grid(scenes).select("*", lon.alias("lon"), lat.alias("lat"))
+    return sample_points(scenes, grid, _DATES, region=_RING)
+
+
 _IMAGER = ["click", "error"]
 
 

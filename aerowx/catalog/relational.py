@@ -10,7 +10,7 @@ from .. import contracts as C
 from .. import sinks
 from ..functions import numbers, text, times
 from ..functions.geo import in_region
-from ..operators import conform, joins, lookups, quality, requests, sampling
+from ..operators import conform, joins, lookups, quality, regions, requests, sampling
 from ..plans.airports import airport_map, airports
 from ..sources import files
 from .registry import query, table
@@ -479,6 +479,38 @@ def to_json_rows(spark, folder):
     return sinks.json_rows(orders)
 
 
+@query(
+    """
+    WITH corners AS (
+        SELECT n_nationkey AS region_id, n_nationkey * CAST(13 AS DOUBLE) - 170 AS x,
+               n_nationkey * CAST(5 AS DOUBLE) - 75 AS y FROM nation),
+    edges AS (
+        SELECT region_id, unnest([
+            {x1: x - 31.5, y1: y - 20.25, x2: x + 42.0, y2: y - 9.5}, {x1: x + 42.0, y1: y - 9.5, x2: x + 5.0, y2: y + 2.0},
+            {x1: x + 5.0, y1: y + 2.0, x2: x + 20.0, y2: y + 37.0}, {x1: x + 20.0, y1: y + 37.0, x2: x - 31.5, y2: y - 20.25}
+        ]) AS e FROM corners),
+    places AS (
+        SELECT c_custkey, c_acctbal / 25 - 180 AS lon, c_nationkey * CAST(6 AS DOUBLE) - 71.5 AS lat FROM customer)
+    SELECT c_custkey, lon, lat, region_id FROM places CROSS JOIN edges
+    GROUP BY ALL
+    HAVING count(*) FILTER (
+        ((e.y1 > lat) != (e.y2 > lat)) AND lon < (e.x2 - e.x1) / (e.y2 - e.y1) * (lat - e.y1) + e.x1) % 2 = 1
+    """
+)
+def points_in_regions(spark, folder):
+    """All customers' places against a dented polygon for each nation; the polygons overlap."""
+    places = table(spark, folder, "customer").select(
+        "c_custkey",
+        (F.col("c_acctbal") / 25 - 180).alias("lon"),
+        (F.col("c_nationkey") * F.lit(6.0) - F.lit(71.5)).alias("lat"),
+    )
+    x, y = F.col("n_nationkey") * F.lit(13.0) - 170, F.col("n_nationkey") * F.lit(5.0) - 75
+    corners = [(-31.5, -20.25), (42.0, -9.5), (5.0, 2.0), (20.0, 37.0)]
+    ring = F.array(*[F.struct((x + dx).alias("lon"), (y + dy).alias("lat")) for dx, dy in corners])
+    polygons = table(spark, folder, "nation").select(F.col("n_nationkey").alias("region_id"), ring.alias("ring"))
+    return regions.in_regions(places, polygons)
+
+
 _GRID_URL = "https://weather.example.com/monthly/%s/date/%d-%d"
 
 

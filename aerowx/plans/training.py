@@ -77,7 +77,7 @@ def sample_points(
     seed: int = 0,
     day_column: str | None = None,
 ) -> DataFrame:
-    """(at, stratum, row, col): one cell per date and stratum.
+    """(at, stratum, row, col): one cell per date and stratum, with lon and lat if ``grid`` has them.
 
     ``grid`` is (row, col, elevation), with lon and lat where a region is given.
     """
@@ -87,7 +87,10 @@ def sample_points(
         F.col("band") == C.PRECIPITATION_BAND
     )
     mosaics = mosaics_at(rain, moments, unique_times=False).drop("band")
-    return one_cell_per_stratum(strata(mosaics, inside, dates, num_bins), seed=seed)
+    points = one_cell_per_stratum(strata(mosaics, inside, dates, num_bins), seed=seed)
+    if not {"lon", "lat"} <= set(grid.columns):
+        return points
+    return enrich(points, grid.select("row", "col", "lon", "lat"), ["row", "col"], hot_rows=None)
 
 
 def channels(imager_bands: Sequence[str]) -> list[tuple[str, int, str, int]]:
