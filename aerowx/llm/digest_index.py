@@ -47,13 +47,16 @@ class DigestIndex:
         writer = writer.bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.folder)
         writer.mode("append").saveAsTable(self.name)
 
+    def create(self) -> None:
+        """Make the table, empty, unless it is there."""
+        if not self.exists():
+            self._append(self.spark.createDataFrame([], "digest string, keep_id long, first_batch string"))
+
     def unseen(self, groups: DataFrame) -> DataFrame:
         """Rows of ``groups`` (one per digest) whose digest the index lacks."""
-        if not self.exists():
-            return groups
         return groups.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
 
-    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
         """De-duplicate a batch against itself and the index, and append what is new.
 
         Returns one row per input row: id, keep_id, group_size, kept, text_sha256. Of equal
@@ -61,8 +64,12 @@ class DigestIndex:
         the text: then that batch's row stays and all of these go. NULL texts count as
         empty. NULL ids lose against any other; rows alike in id and text all name the same
         keep_id and are all kept if it is theirs. An empty batch adds nothing.
+
+        Name the ``batch`` so that it can be repeated: a job that dies after the append and runs
+        again under that name finds its own digests in the index and gives the first answer.
         """
-        batch = uuid.uuid4().hex
+        batch = batch or uuid.uuid4().hex
+        self.create()
         rows = docs.select(F.col(id_col).alias("doc_id"), text_digest(F.col(text_col)).alias("digest"))
         groups = durable(
             rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
@@ -92,8 +99,17 @@ class DigestIndex:
         )
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
-    """De-duplicate one table against a new, empty index; see ``DigestIndex.add``."""
-    spark = docs.sparkSession
-    name = f"digests_{uuid.uuid4().hex}"
-    return DigestIndex(spark, name, shared_folder(spark, name), buckets).add(docs, id_col, text_col)
+def exact_dedup(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    buckets: int = BUCKETS,
+    index: DigestIndex | None = None,
+    batch: str | None = None,
+) -> DataFrame:
+    """De-duplicate one table against a lasting index, or a new and empty one; see ``DigestIndex.add``."""
+    if index is None:
+        spark = docs.sparkSession
+        name = f"digests_{uuid.uuid4().hex}"
+        index = DigestIndex(spark, name, shared_folder(spark, name), buckets)
+    return index.add(docs, id_col, text_col, batch)

@@ -18,6 +18,7 @@ from aerowx.llm.packing import pack
 from aerowx.llm.queries import TOKENIZER
 from aerowx.llm.shared import table, written
 from aerowx.llm.toxicity import toxicity
+from aerowx.operators.sampling import first_per_key
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -34,9 +35,16 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id."""
-    kept = exact_dedup(docs).where("kept").select("doc_id", "text_sha256")
-    return _only(docs, kept)
+    """Of equal texts, one row: with the largest id, of rows that share it the smallest by the other columns."""
+    kept = exact_dedup(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("_rows"))
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "_rows")
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    same = (digest == kept["_sha"]) & docs["doc_id"].eqNullSafe(kept["_id"])
+    found = docs.join(kept, same).select(*docs.columns, "_sha", "_rows")
+    # Only rows that repeat are brought together, and shrink to one in each task first.
+    once = found.where("_rows = 1").select(*docs.columns)
+    repeated = first_per_key(found.where("_rows > 1"), ["_sha"]).select(*docs.columns)
+    return once.unionByName(repeated)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -204,6 +204,16 @@ def test_exact_dedup_and_a_second_batch(spark, corpus):
     assert index.table().count() == 3
 
 
+def test_a_batch_of_a_lasting_index_can_be_repeated(spark):
+    index = DigestIndex(spark, "digests_of_repeated_batches", shared_folder(spark, "index"), 4)
+    batches = {"one": documents(spark, [(1, "a"), (2, "b"), (3, "b")]), "two": documents(spark, [(9, "a"), (4, "c")])}
+    first = {n: sorted(map(repr, exact_dedup(d, index=index, batch=n).collect())) for n, d in batches.items()}
+    # Whatever was appended before a job died, the batch gets its first answer again.
+    again = {n: sorted(map(repr, exact_dedup(d, index=index, batch=n).collect())) for n, d in batches.items()}
+    assert again == first and index.table().count() == 3
+    assert sum("kept=True" in r for rows in first.values() for r in rows) == 3
+
+
 def test_embeddings_equal_all_pairs(spark):
     rng = np.random.default_rng(2)
     rows = []

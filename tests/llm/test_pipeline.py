@@ -31,3 +31,17 @@ def test_stages_drop_only_what_they_name(spark):
 def test_queries_are_named_by_operator():
     assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(ORACLE) <= set(QUERIES) and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_exact_copies_leave_one_row_of_each_text(spark):
+    rows = [
+        (1, "alpha", "en", "a", 1), (1, "alpha", "en", "a", 1), (1, "alpha", "en", "b", 1), (None, "beta", "en", "a", 1),
+        (None, "beta", "en", "a", 1), (2, "gamma", "en", "a", 1), (3, "gamma", None, "a", 1), (3, "delta", "en", "a", 1),
+        (4, None, "en", "a", 1), (5, "", "en", "a", 1), (2, "delta", "en", "a", 1),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_copies(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    found = sorted((tuple(r)[:2] for r in kept.collect()), key=str)
+    assert found == sorted([(1, "alpha"), (None, "beta"), (3, "gamma"), (3, "delta"), (5, "")], key=str)
+    assert corpus_pipeline.drop_copies(spark, docs.limit(0), FOLDER).count() == 0
