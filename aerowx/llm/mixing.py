@@ -8,8 +8,11 @@ words are r = exp(lambda of the source); lambda solves the convex dual
 
 by Newton's steps. The dual needs of the documents only their total size per source, which
 Spark reduces in each task before anything is shuffled. Rates are then rounded into whole
-copies by a draw from a hash of the id, and what a source misses or has too much is made up
-by one copy more or less of a few documents, whose sizes are chosen from large to small.
+copies systematically: along the texts of a source from the longest down, the copies up to
+each are the rounded sum of the rates, so words miss the target by half the longest text at
+most, whatever the number of texts. What is missing is made up by copies of shorter texts.
+All this looks at how many texts have each size; texts of one size share their copies in the
+order of a hash.
 """
 
 from __future__ import annotations
@@ -19,13 +22,13 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import enrich
 from ..session import durable
-from .shared import word_count
+from .shared import word_count, written
 
 MOST_COPIES = 3
 WEIGHTS = (1, 2, 3)
 NEWTON_STEPS = 80
-#: Documents of each size class of a source that may change by a copy.
-SPARE = 8
+#: Bits of the hash and of the place that each pass leaves out, until it finds where the extra copies end.
+PASSES = ((46, 63), (30, 63), (0, 63), (0, 33), (0, 0))
 
 
 def _key(source: Column) -> Column:
@@ -61,55 +64,98 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -
     return durable(level.select("key", F.col("source_size").cast("long").alias("source_size"), "target", rate.alias("rate")))
 
 
-def _draw(most: int) -> Column:
-    part = F.pmod(F.xxhash64(F.lit(10), "doc_id", "size"), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    return F.least(F.lit(most), F.floor(F.col("rate") + part)).cast("int")
+def _copies_by_size(sized: DataFrame, targets: DataFrame, most: int) -> DataFrame:
+    """(key, size, n, copies): how many copies the n texts of a size in a source get together.
 
-
-def _changes(drawn: DataFrame, most: int) -> DataFrame:
-    """(key, doc_id, size, change): documents that get a copy more or less."""
-    gaps = drawn.groupBy("key").agg(F.first("target").alias("_t"), F.sum(F.col("size") * F.col("copies")).alias("_n"))
-    gaps = durable(gaps.select("key", (F.col("_t") - F.col("_n")).alias("gap")))
-    able = F.expr(f"size > 0 AND size <= abs(gap) AND IF(gap > 0, copies < {most}, copies > 0)")
-    spare = enrich(drawn, gaps, "key", "inner", hot_rows=None).where(able)
-    spare = spare.withColumn("class", F.floor(F.log2("size")))
-    spare = spare.withColumn("part", F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(SPARE)))
-    picked = spare.groupBy("key", "class", "part").agg(
-        F.first("gap").alias("gap"), F.max(F.struct("size", "doc_id")).alias("doc")
+    A source has no more sizes than its longest text has words, and the sizes that make up
+    for what is missing are at most half as long, so windows and lists stay small.
+    """
+    counts = sized.groupBy("key", "size").agg(F.count(F.lit(1)).alias("n"))
+    longest_first = Window.partitionBy("key").orderBy(F.col("size").desc())
+    upto = enrich(counts, targets.select("key", "target", "rate"), "key", "inner", hot_rows=None)
+    upto = upto.withColumn("upto", F.sum("n").over(longest_first.rowsBetween(Window.unboundedPreceding, 0)))
+    rounded = upto.withColumn("copies", F.expr("floor(rate * upto + 0.5D) - floor(rate * (upto - n) + 0.5D)"))
+    rounded = durable(rounded.withColumn("copies", F.expr(f"least(copies, {most} * n)")).drop("upto"))
+    gap = F.first("target") - F.sum(F.col("size") * F.col("copies"))
+    gaps = durable(rounded.groupBy("key").agg(gap.alias("gap")))
+    room = F.expr(f"IF(gap > 0, {most} * n - copies, copies)").alias("room")
+    able = enrich(rounded, gaps, "key", "inner", hot_rows=None).select("key", "gap", "size", room)
+    able = able.where("room > 0 AND size > 0 AND size <= abs(gap)")
+    lists = able.groupBy("key").agg(
+        F.first("gap").alias("gap"), F.sort_array(F.collect_list(F.struct("size", "room")), False).alias("sizes")
     )
-    # At most SPARE rows for each doubling of the size, so these lists have a fixed bound.
-    lists = picked.groupBy("key").agg(F.first("gap").alias("gap"), F.sort_array(F.collect_list("doc"), False).alias("docs"))
-    greedy = F.expr(
-        "aggregate(docs, struct(abs(gap) AS room, slice(docs, 1, 0) AS used), "
-        "(a, d) -> IF(d.size <= a.room, struct(a.room - d.size AS room, concat(a.used, array(d)) AS used), a)).used"
+    filled = F.expr(
+        "aggregate(sizes, struct(abs(gap) AS gap, slice(sizes, 1, 0) AS used), (a, s) -> IF(s.size > a.gap, a, "
+        "struct(a.gap - s.size * least(s.room, floor(a.gap / s.size)) AS gap, "
+        "concat(a.used, array(struct(s.size AS size, least(s.room, floor(a.gap / s.size)) AS room))) AS used))).used"
     )
     sign = F.when(F.col("gap") > 0, 1).otherwise(-1)
-    return durable(
-        lists.select("key", sign.alias("change"), F.explode(greedy).alias("doc")).select(
-            "key", "doc.doc_id", "doc.size", "change"
+    made_up = lists.select("key", sign.alias("sign"), F.explode(filled).alias("s"))
+    made_up = durable(made_up.select("key", "s.size", (F.col("sign") * F.col("s.room")).alias("change")))
+    whole = enrich(rounded, made_up, ["key", "size"], "left", hot_rows=None)
+    return whole.select("key", "size", "n", (F.col("copies") + F.coalesce("change", F.lit(0))).cast("long").alias("copies"))
+
+
+def _shares(sized: DataFrame, by_size: DataFrame) -> DataFrame:
+    """(key, size, each, hash_to, place_to): each text's copies, and up to where one more is given.
+
+    The remainder goes to the texts with the smallest hashes, rows alike in id and text by their
+    place. Where it ends is found by counts of leading bits, of more bits at each pass, so no
+    group is sorted or meets in a task; passes end when no group is open.
+    """
+    each = F.expr("copies div n").alias("each")
+    by_size = durable(by_size.select("key", "size", each, (F.col("copies") % F.col("n")).alias("rest")))
+    still = by_size.where("rest > 0").select("key", "size", F.lit(0).cast("long").alias("h0"), F.lit(0).cast("long").alias("p0"), "rest")
+    ends, before = [], (62, 63)
+    for bits in PASSES:
+        cut = {f"{c}{k}": F.shiftright(name, b) for k, by in enumerate((before, bits)) for c, name, b in zip("hp", ("hash", "place"), by)}
+        rows = sized.select("key", "size", *[v.alias(k) for k, v in cut.items()])
+        counts = rows.groupBy("key", "size", *cut).agg(F.count(F.lit(1)).alias("n"))
+        counts = enrich(counts, still, ["key", "size", "h0", "p0"], "inner", hot_rows=None)
+        order = Window.partitionBy("key", "size").orderBy("h1", "p1").rowsBetween(Window.unboundedPreceding, 0)
+        border = counts.withColumn("upto", F.sum("n").over(order)).where("rest > upto - n AND rest <= upto")
+        border = durable(border.select("key", "size", "h1", "p1", "rest", "upto", "n"))
+        last = [
+            F.expr(f"shiftleft({c} + 1L, {b}) - 1L").alias(name) if b < 63 else F.lit((1 << 63) - 1).alias(name)
+            for c, b, name in (("h1", bits[0], "hash_to"), ("p1", bits[1], "place_to"))
+        ]
+        ends.append(border.where("rest = upto").select("key", "size", *last))
+        still = border.where("rest < upto").select(
+            "key", "size", F.col("h1").alias("h0"), F.col("p1").alias("p0"), F.expr("rest - (upto - n)").alias("rest")
         )
-    )
+        before = bits
+        if still.isEmpty():
+            break
+    found = ends[0]
+    for more in ends[1:]:
+        found = found.unionByName(more)
+    return durable(enrich(by_size.drop("rest"), durable(found), ["key", "size"], "left", hot_rows=None))
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     source = F.col(source_col).cast("string")
+    text = F.col(text_col).cast("string")
+    doc_id = F.col(id_col).cast("long")
     return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        source.alias("source"),
+        "*",
+        doc_id.alias("_id"),
+        source.alias("_source"),
         _key(source).alias("key"),
-        word_count(F.col(text_col).cast("string")).alias("size"),
+        word_count(text).alias("size"),
+        F.shiftrightunsigned(F.xxhash64(F.lit(10), doc_id, text), 2).alias("hash"),
+        F.monotonically_increasing_id().alias("place"),
     )
 
 
-def _with_copies(sized: DataFrame, targets: DataFrame, changes: DataFrame | None, most: int) -> DataFrame:
-    drawn = enrich(sized, targets, "key", "inner", hot_rows=None).withColumn("copies", _draw(most))
-    if changes is None:
-        return drawn
-    # A NULL id equals no other in a join, so it is given a key of its own kind.
-    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("ident")
-    keyed = changes.select("key", ident, "size", "change").distinct()
-    told = enrich(drawn.withColumn("ident", ident), keyed, ["key", "ident", "size"], "left", hot_rows=None)
-    return told.withColumn("copies", F.col("copies") + F.coalesce("change", F.lit(0))).drop("change", "ident")
+def _with_copies(sized: DataFrame, most: int, weights) -> DataFrame:
+    """Add source_size, target, rate and copies to a table that was written with its places."""
+    narrow = sized.select("key", "size", "hash", "place")
+    targets = source_targets(sized.select(F.col("_source").alias("source"), "key", "size"), weights, most)
+    shares = _shares(narrow, _copies_by_size(narrow, targets, most))
+    told = enrich(sized, shares, ["key", "size"], "inner", spread_by=["place"])
+    told = enrich(told, targets, "key", "inner", spread_by=["place"])
+    more = "hash < hash_to OR (hash = hash_to AND place <= place_to)"
+    return told.withColumn("copies", F.expr(f"cast(each + IF({more}, 1, 0) AS int)")).drop("each", "hash_to", "place_to")
 
 
 def mix(
@@ -126,16 +172,16 @@ def mix(
     source_size, target (of its source), rate, copies (0 to ``most``), taken (copies * size).
 
     A NULL text has size 0, a NULL source is the last source. A source without words has
-    target 0 and keeps each row once. Rows that repeat id and size in a source get the same
-    number of copies. Other columns are ignored; an empty table gives an empty result. The
-    same rows give the same mix, in whatever order or files they come.
+    target 0 and keeps each row once. Rows without an id and rows that repeat are rows like
+    others: they share the copies of their size one by one. Other columns are ignored; an empty
+    table gives an empty result. The same rows give the same mix, in whatever order or files
+    they come; rows alike in id and text are told apart by their place only.
     """
-    sized = durable(_sized(docs, id_col, text_col, source_col))
-    targets = source_targets(sized, weights, most)
-    changes = _changes(_with_copies(sized, targets, None, most), most)
-    return _with_copies(sized, targets, changes, most).select(
-        "doc_id",
-        "source",
+    sized = _sized(docs.select(id_col, text_col, source_col), id_col, text_col, source_col)
+    sized = durable(sized.drop(id_col, text_col, source_col))
+    return _with_copies(sized, most, weights).select(
+        F.col("_id").alias("doc_id"),
+        F.col("_source").alias("source"),
         "size",
         "source_size",
         "target",
@@ -148,18 +194,11 @@ def mix(
 def mixed_rows(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """``docs`` (doc_id, text, source and any others) with each row as often as the mix takes it.
 
-    The texts stay where they are: each row's copies follow from its own columns, the rates
-    of the sources and the few documents that were changed.
+    The rows are written once with their sizes, hashes and places; texts then stay where they
+    are unless the table of sizes is too large to broadcast.
     """
-    sized = durable(_sized(docs, "doc_id", "text", "source"))
-    targets = source_targets(sized, weights, most)
-    changes = _changes(_with_copies(sized, targets, None, most), most)
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    rows = kept.select(
-        "_row",
-        F.col("_row.doc_id").cast("long").alias("doc_id"),
-        _key(F.col("_row.source").cast("string")).alias("key"),
-        word_count(F.col("_row.text").cast("string")).alias("size"),
-    )
-    counted = _with_copies(rows, targets, changes, most)
+    rows = kept.select("_row", F.col("_row.doc_id").alias("_doc"), F.col("_row.text").alias("_text"), F.col("_row.source").alias("_from"))
+    sized = _sized(rows, "_doc", "_text", "_from").drop("_doc", "_text", "_from")
+    counted = _with_copies(written(sized, "mix"), most, weights)
     return counted.withColumn("_copy", F.explode(F.expr("array_repeat(0, copies)"))).select("_row.*")
