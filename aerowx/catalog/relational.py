@@ -10,8 +10,10 @@ from .. import contracts as C
 from .. import sinks
 from ..functions import numbers, text, times
 from ..functions.geo import in_region
+from ..ledger import Ledger
 from ..operators import conform, joins, lookups, quality, regions, requests, sampling
 from ..plans.airports import airport_map, airports
+from ..session import shared_folder
 from ..sources import files
 from .registry import query, table
 
@@ -576,6 +578,30 @@ def append_dedup(spark, folder):
     return sinks.new_rows(twice, existing, ["user_id", "day"], prefer=["event_id"])
 
 
+@query(
+    f"""
+    WITH delivered AS (
+        SELECT 'one' AS batch, user_id, CAST(ts AS DATE) AS day, event_id, value FROM events
+        WHERE ts < {_ARRIVED} + INTERVAL 5 DAY
+        UNION ALL
+        SELECT 'two', user_id, CAST(ts AS DATE), event_id, value FROM events WHERE ts >= {_ARRIVED}),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY batch, event_id) AS rn FROM delivered)
+    SELECT batch, user_id, day, event_id, value FROM ranked WHERE rn = 1
+    """
+)
+def append_ledger(spark, folder):
+    """Two batches that overlap; the second comes three times, last with all events."""
+    home = shared_folder(spark, "ledger")
+    name = f"ledger_{home[-32:]}"
+    rows = table(spark, folder, "events").select("user_id", F.to_date("ts").alias("day"), "event_id", "value", "ts")
+    one = rows.where(F.col("ts") < times.ntz("2024-01-20 00:00:00")).drop("ts")
+    two = rows.where(F.col("ts") >= times.ntz("2024-01-15 00:00:00")).drop("ts")
+    ledger = Ledger(spark, name, home, ["user_id", "day"], prefer=["event_id"], buckets=8)
+    added = [ledger.append(df, batch) for batch, df in (("one", one), ("two", two), ("two", two.union(two)), ("two", one.union(two)))]
+    columns = ["user_id", "day", "event_id", "value"]
+    return added[0].select(F.lit("one").alias("batch"), *columns).unionByName(added[-1].select(F.lit("two").alias("batch"), *columns))
+
+
 @query(
     """
     SELECT event_id, CASE WHEN value > 200 THEN 'too large'
