@@ -11,9 +11,8 @@ so an arc is p(w|h), and the failure arc of h weighs m / (c(h) + m). Each order
 
 The automaton grows with the corpus and is never gathered. Texts are dealt into blocks of
 bounded size; each block sends the n-grams it holds, with its own counts, to the shuffle,
-gets back what other blocks have counted of them, and so has just the states and arcs its
-texts can reach. It then walks every text from left to right once. The state after
-a word depends on the last words only, so all places of a block are walked together.
+gets back what other blocks have counted of them, and builds the states and arcs its
+texts can reach. It then walks every text from left to right once, carrying a state.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import durable
+from .automaton import Automaton
 from .runs import run_starts, slices, whole_runs
 from .shared import fold, id_text
 from .words import grams, mixed, text_words
@@ -147,22 +146,6 @@ def _total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=["block", "share", "others"])
 
 
-def walk(tokens, place, lookup, order: int, total_tokens: int, distinct: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
-    """log10 p of every token, and its training count, in one traversal of a row of texts."""
-    counts = lookup(_keys(tokens, 1))
-    p = (counts + 0.5) / (total_tokens + 0.5 * (distinct + 1))
-    history = counts
-    for n in range(2, order + 1):
-        longer = np.zeros(len(tokens), np.float64)
-        seen = np.zeros(len(tokens), np.float64)
-        inside = np.flatnonzero(place >= n - 1)
-        seen[inside] = lookup(_keys(tokens, n)[inside - (n - 1)])
-        longer[inside] = history[inside - 1]
-        p = np.where(place >= n - 1, (seen + backoff * p) / (longer + backoff), p)
-        history = seen
-    return np.log10(p), counts
-
-
 def _score(order: int, shares: int, backoff: float, total_tokens: int, distinct: int):
     def score(key, docs: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
         if len(docs) == 0:
@@ -174,10 +157,12 @@ def _score(order: int, shares: int, backoff: float, total_tokens: int, distinct:
         for k, others in zip(back["share"], back["others"]):
             counts[at[k]] += _numbers(others, np.int64)
 
-        def lookup(wanted: np.ndarray) -> np.ndarray:
+        def count(n: int, ends: np.ndarray) -> np.ndarray:
+            wanted = _keys(tokens, n)[ends - (n - 1)]
             return counts[np.searchsorted(keys, wanted)].astype(np.float64)
 
-        logs, seen = walk(tokens, place, lookup, order, total_tokens, distinct, backoff)
+        automaton = Automaton(tokens, place, count, order, total_tokens, distinct, backoff)
+        logs, seen = automaton.traverse(place), automaton.seen
         base = np.log10((seen + 0.5) / (total_tokens + 0.5 * (distinct + 1)))
         real = place > 0
         n = len(docs)
