@@ -211,7 +211,7 @@ def lm_score(
     known, total = summed.agg(F.count("key"), F.sum("tokens")).first()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    place = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int")
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
     dealt = rows.withColumn("block", place).withColumn("doc_id", id_text("doc_id")).repartition(blocks, "block")
     sent = dealt.sortWithinPartitions("block").mapInPandas(
         _send(order, blocks), "share long, block int, keys binary, counts binary"
