@@ -213,7 +213,9 @@ def _extend(min_words: int, gram: int):
     """Settled rows with their repeated windows; rows of cut grams with keys of windows instead.
 
     Of the latter, bits tell the windows that have a key, first and last are the smallest and
-    largest document that has the row, and piece is the first row of those held together.
+    largest document that has the row, and piece is the first row of those held together. Each
+    distinct key of a piece follows as one row of its own (``key`` set, ``keys`` empty), with
+    the smallest and largest document over the rows that have it.
     """
     most, starts = MOST_ROWS, min_words - gram + 1
 
@@ -228,11 +230,29 @@ def _extend(min_words: int, gram: int):
                 bits, keys = np.zeros(len(frame), np.int64), np.zeros((len(frame), starts), np.int64)
                 np.bitwise_or.at(bits, at, np.int64(1) << start.astype(np.int64))
                 keys[at, start] = key.view(np.int64)
-                out = frame[["gram", "around"]].assign(bits=bits, first=low, last=high, piece=frame["around"].iloc[0], keys=list(keys))
+                piece = frame["around"].iloc[0]
+                out = frame[["gram", "around"]].assign(bits=bits, first=low, last=high, piece=piece, keys=list(keys), key=None)
+                yield out[out["bits"] != 0]
+                # Equal windows of the piece are one row, with the smallest and largest document.
+                if len(at):
+                    order = np.argsort(key, kind="stable")
+                    cuts = run_starts(key[order])
+                    yield pd.DataFrame(
+                        {
+                            "gram": frame["gram"].iloc[0],
+                            "around": None,
+                            "bits": 0,
+                            "first": np.minimum.reduceat(low[at][order], cuts),
+                            "last": np.maximum.reduceat(high[at][order], cuts),
+                            "piece": piece,
+                            "keys": None,
+                            "key": key[order][cuts].view(np.int64),
+                        }
+                    )
             else:
                 bits, first, last = repeated_windows(hashes, table, low, high, min_words, gram)
-                out = frame[["gram", "around"]].assign(bits=bits, first=first, last=last, piece=0, keys=None)
-            yield out[out["bits"] != 0]
+                out = frame[["gram", "around"]].assign(bits=bits, first=first, last=last, piece=0, keys=None, key=None)
+                yield out[out["bits"] != 0]
 
     return extend
 
@@ -257,11 +277,11 @@ def _resolve(rows: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
 def _settled(found: DataFrame) -> DataFrame:
     """What ``_extend`` gives, with the windows of cut grams settled: those two documents have.
 
-    A window that many rows of a piece have counts once, so that what is joined stays small.
+    A window that many rows of a piece have comes once from the task, so that what is grouped
+    and joined grows with the distinct windows, not with rows times windows.
     """
-    cut = found.where("keys IS NOT NULL")
-    windows = cut.select("gram", "piece", "bits", "first", "last", F.posexplode("keys").alias("start", "key"))
-    windows = windows.where("(shiftright(bits, start) & 1) = 1").groupBy("gram", "piece", "key")
+    cut = found.where("keys IS NOT NULL").drop("key")
+    windows = found.where("key IS NOT NULL").groupBy("gram", "piece", "key")
     windows = durable(windows.agg(F.min("first").alias("low"), F.max("last").alias("high")))
     extent = windows.groupBy("gram", "key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     shared = durable(extent.where("low <> high"))
@@ -269,7 +289,7 @@ def _settled(found: DataFrame) -> DataFrame:
     hits = hits.select(F.col("gram").alias("of_gram"), F.col("piece").alias("of_piece"), "key", "low", "high")
     opened = cut.groupBy("gram", "piece").cogroup(hits.groupBy("of_gram", "of_piece"))
     opened = opened.applyInPandas(_resolve, "gram long, around long, bits long, first long, last long")
-    return found.where("keys IS NULL").drop("keys", "piece").unionByName(opened)
+    return found.where("keys IS NULL AND key IS NULL").drop("keys", "piece", "key").unionByName(opened)
 
 
 def _spans(min_words: int, gram: int):
@@ -342,7 +362,7 @@ def repeated_spans(
         .sortWithinPartitions("gram", "words")
         .mapInPandas(
             _extend(min_words, gram),
-            "gram long, around long, bits long, first long, last long, piece long, keys array<long>",
+            "gram long, around long, bits long, first long, last long, piece long, keys array<long>, key long",
         )
     )
     hits = around.select("gram", "around", "doc_id", "place").join(_settled(found), ["gram", "around"])

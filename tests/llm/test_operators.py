@@ -187,6 +187,18 @@ def test_a_task_holds_a_bounded_part_of_a_gram():
     assert len(taken) <= 5
 
 
+def test_a_cut_gram_sends_each_window_once(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MOST_ROWS", 50)
+    same = np.random.default_rng(3).integers(1, 1 << 31, 92).astype(np.uint32)
+    ids = np.arange(200)
+    frame = pd.DataFrame({"gram": 7, "around": ids, "low": ids, "high": ids, "words": [same.tobytes()] * 200})
+    out = pd.concat(suffix_dedup._extend(50, 8)(iter([frame])), ignore_index=True)
+    windows = out[out["key"].notna()]
+    # 200 rows with equal words: one row per window and piece, not one per row and window.
+    assert len(windows) == len(windows.drop_duplicates(["piece", "key"])) <= 43 * out["piece"].nunique()
+    assert out["piece"].nunique() <= 5 and (windows["first"] < windows["last"]).all()
+
+
 def test_exact_dedup_and_a_second_batch(spark, corpus):
     rows = exact_dedup(documents(spark, corpus)).collect()
     by_text = defaultdict(list)
