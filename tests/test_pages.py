@@ -1,4 +1,5 @@
 import pytest
+import pyarrow as pa
 
 from aerowx import contracts as C
 from aerowx.operators import positions
@@ -140,3 +141,16 @@ def test_large_keys_beside_null_stay_as_they_are(spark):
     ]
     assert sum(r.page_id is None for r in found) == 2
     assert [tuple(r) for r in span_rejects(df, ["page_id"]).collect()] == [(7, "span")]
+
+
+def test_pages_are_parsed_a_slice_at_a_time(spark, rows, monkeypatch):
+    from aerowx.sources import pages as module
+
+    monkeypatch.setattr(module, "PAGES_AT_ONCE", 3)
+    assert [b.num_rows for b in module._slices(iter([pa.record_batch({"x": list(range(10))})]), 3)] == [3, 3, 3, 1]
+    html = [(k, "<table>" + "".join(f"<tr><td>{k}</td><td>{r}</td></tr>" for r in range(k % 4)) + "</table>") for k in range(20)]
+    html += [(20, "<table><tr><td colspan=20000>wide</td></tr></table>")]
+    df = spark.createDataFrame(html, "id int, html string").coalesce(1)
+    want = [(k, 1, r, False, [str(k), str(r)]) for k in range(20) for r in range(k % 4)]
+    assert rows(html_tables(df, ["id"])) == sorted(want, key=repr)
+    assert [tuple(r) for r in span_rejects(df, ["id"]).collect()] == [(20, "span")]
