@@ -10,8 +10,12 @@ all of them before its sets are compared:
 2. A second pass emits the prefix tokens under the first order. Documents that share one are
    paired if they are few; if they are many, each is tied to the first of them. A third
    does the same under the other orders for documents that have a partner so far; they are
-   known by a bitmap of fixed size, which may let others through but loses none.
-3. Pairs are intersected over the orders. Pairs make candidate groups, and so do ties.
+   known by a bitmap of fixed size, which may let others through but loses none. Prefix
+   tokens travel as packed columns, one row for each bucket of tokens, and many documents
+   of one task that share a token as ties and one entry.
+3. A pair counts only where the first token that it may share leaves room in both sets for
+   an intersection of the wanted size. Pairs are intersected over the orders. Pairs make
+   candidate groups, and so do ties.
 4. Groups are compared in tiles: each text goes to the tiles of its group, intersections
    are a matrix product, and what links within a tile is handed on as a tree.
 
@@ -43,6 +47,17 @@ _SHARE = 1 << 15
 FILTER_BITS = 1 << 24
 #: Documents that share a token are paired up to this number, and tied beyond it.
 FEW = 32
+#: A bucket holds about so many prefix tokens, and there are so many buckets at least.
+BUCKET = 1 << 18
+LEAST_BUCKETS = 64
+#: Buckets that meet in a task, on average, at most.
+TASK_BUCKETS = 4
+#: What names a tie beside a bit for each order.
+TIE = 1 << ORDERS
+#: Bits of a prefix token that travel, without its order: tokens alike in these only add candidates.
+_TOKEN_BITS = 48
+#: A prefix token's packed columns: the token less the one before, node, size of the set, place in it, whether tied.
+_PACKED = (np.uint64, np.int64, np.uint32, np.uint32, np.uint8)
 #: A tile holds about so many documents and shingles of each of its two sides.
 TILE_DOCS = 512
 TILE_SHINGLES = 1 << 21
@@ -115,16 +130,50 @@ def _order_key(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray
     return high | (mixed(tokens, 100 + order) >> np.uint64(8))
 
 
-def _combined(token: np.ndarray, node: np.ndarray, n: np.ndarray) -> pd.DataFrame:
-    """Distinct rows; within one task a token of many documents keeps the first and ties the rest."""
+def _packed(columns: tuple[np.ndarray, ...], kinds: tuple) -> bytes:
+    """Columns byte by byte, all lowest bytes of a column first, so that high bytes compress to nothing."""
+    parts = [np.ascontiguousarray(c, dtype=k).view(np.uint8) for c, k in zip(columns, kinds)]
+    return b"".join(p.reshape(-1, np.dtype(k).itemsize).T.tobytes() for p, k in zip(parts, kinds))
+
+
+def _unpacked(blob: bytes, kinds: tuple) -> list[np.ndarray]:
+    widths = [np.dtype(k).itemsize for k in kinds]
+    planes = np.frombuffer(blob, np.uint8).reshape(sum(widths), -1)
+    ends = np.cumsum(widths)
+    return [np.ascontiguousarray(planes[e - w : e].T).view(k).ravel() for e, w, k in zip(ends, widths, kinds)]
+
+
+def _distinct(token: np.ndarray, node: np.ndarray, *more: np.ndarray) -> list[np.ndarray]:
+    """The columns sorted by token and node, one entry for each two."""
     by_token = np.lexsort((node, token))
-    token, node, n = token[by_token], node[by_token], n[by_token]
-    once = run_starts(token, node)
-    token, node, n = token[once], node[once], n[once]
+    once = by_token[run_starts(token[by_token], node[by_token])]
+    return [c[once] for c in (token, node, *more)]
+
+
+def _combined(token: np.ndarray, node: np.ndarray, n: np.ndarray, place: np.ndarray, buckets: int) -> pd.DataFrame:
+    """A row for each bucket; a token of many documents keeps the first and ties the others to it."""
+    token, node, n, place = _distinct(token, node, n, place)
     starts = run_starts(token)
     lengths = np.diff(np.append(starts, len(token)))
-    tie, tied = np.repeat(node[starts], lengths), np.repeat(lengths > FEW, lengths)
-    return pd.DataFrame({"token": token, "node": node, "n": n, "tie": tie, "tied": tied})
+    tied = np.repeat(lengths > FEW, lengths)
+    first = np.zeros(len(token), bool)
+    first[starts] = True
+    stays, goes = first | ~tied, tied & ~first
+    tie = np.repeat(node[starts], lengths)[goes]
+    bucket = ((token >> np.uint64(_TOKEN_BITS + 2 - 32)) * np.uint64(buckets)) >> np.uint64(32)
+    columns = [c[stays] for c in (token, node, n, place, tied)]
+    cuts = run_starts(bucket[stays])
+    names = bucket[stays][cuts]
+    ends = np.append(cuts[1:], len(columns[0]))
+    tie_cuts = np.searchsorted(bucket[goes], names), np.searchsorted(bucket[goes], names, "right")
+    rows, ties = [], []
+    for a, b, x, y in zip(cuts.tolist(), ends.tolist(), *(c.tolist() for c in tie_cuts)):
+        own = [c[a:b] for c in columns]
+        own[0] = np.diff(own[0], prepend=np.uint64(0))
+        rows.append(_packed(own, _PACKED))
+        two = _distinct(node[goes][x:y], tie[x:y]) if x < y else (node[:0], node[:0])
+        ties.append(_packed(two, (np.int64, np.int64)))
+    return pd.DataFrame({"bucket": names.astype(np.int64), "entries": rows, "ties": ties})
 
 
 def _bit(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,8 +187,8 @@ def _marked(bits: np.ndarray, digest: bytes) -> bool:
     return bool(bits[byte[0]] & bit[0])
 
 
-def _prefixes(size: int, percent: int, levels, orders: range, partnered=None):
-    """Prefix tokens under the given orders; the order is in a token's low bits."""
+def _prefixes(size: int, percent: int, levels, orders: range, buckets: int, partnered=None):
+    """Prefix tokens under the given orders, with their places; the order is in a token's low bits."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = levels.value
@@ -147,9 +196,9 @@ def _prefixes(size: int, percent: int, levels, orders: range, partnered=None):
         count = 0
 
         def flush() -> pd.DataFrame:
-            parts = [np.concatenate([h[k] for h in held]) for k in range(3)]
+            parts = [np.concatenate([h[k] for h in held]) for k in range(4)]
             held.clear()
-            return _combined(*parts)
+            return _combined(*parts, buckets)
 
         for batch in batches:
             for words in text_words(batch["text"]):
@@ -163,9 +212,10 @@ def _prefixes(size: int, percent: int, levels, orders: range, partnered=None):
                 p, node = prefix_length(n, percent), np.array([_node(digest)])
                 for order in orders:
                     key = _order_key(tokens, table, order)
-                    chosen = tokens[np.argpartition(key, p - 1)[:p]] if p < n else tokens
-                    named = (chosen & ~np.uint64(3)) | np.uint64(order)
-                    held.append((named.view(np.int64), np.repeat(node, p), np.full(p, n, np.int32)))
+                    chosen = np.argpartition(key, p - 1)[:p] if p < n else np.arange(n)
+                    chosen = tokens[chosen[np.argsort(key[chosen])]]
+                    named = (chosen >> np.uint64(64 - _TOKEN_BITS) << np.uint64(2)) | np.uint64(order)
+                    held.append((named, np.repeat(node, p), np.full(p, n, np.uint32), np.arange(p, dtype=np.uint32)))
                     count += p
                 if count >= _FLUSH:
                     yield flush()
@@ -177,55 +227,46 @@ def _prefixes(size: int, percent: int, levels, orders: range, partnered=None):
 
 
 def _pair_up(percent: int):
-    """(order, a, b) of documents that share a token of few, and (-1, a, b) for ties."""
+    """(mask, a, b): the order's bit for documents that share a token of few, ``TIE`` for ties."""
 
-    def paired(frame: pd.DataFrame) -> pd.DataFrame:
-        token, node, n = (frame[c].to_numpy() for c in ("token", "node", "n"))
-        many = frame["tie"].notna().to_numpy()
+    def paired(token: np.ndarray, node: np.ndarray, n: np.ndarray, place: np.ndarray, tied: np.ndarray) -> list[pd.DataFrame]:
         starts = run_starts(token)
-        lengths = np.diff(np.append(starts, len(frame)))
+        lengths = np.diff(np.append(starts, len(token)))
         run = np.repeat(np.arange(len(starts)), lengths)
-        crowd = (np.logical_or.reduceat(many, starts) | (lengths > FEW))[run]
-        ties = frame["tie"].to_numpy(np.int64, na_value=0)[many]
-        out = [
-            _pairs(np.full(crowd.sum(), -1, np.int8), node[crowd], node[starts][run][crowd]),
-            _pairs(np.full(many.sum(), -1, np.int8), node[many], ties),
-        ]
-        order = (token & 3).astype(np.int8)
+        crowd = (np.logical_or.reduceat(tied, starts) | (lengths > FEW))[run]
+        out = [_pairs(np.full(crowd.sum(), TIE, np.int8), node[crowd], node[starts][run][crowd])]
+        mask = np.int8(1) << (token & np.uint64(3)).astype(np.int8)
+        n = n.astype(np.int64)
+        left = n - place
         for apart in range(1, min(FEW, int(lengths.max()))):
-            same = np.flatnonzero((run[apart:] == run[:-apart]) & ~crowd[apart:])
-            low, high = np.minimum(n[same], n[same + apart]), np.maximum(n[same], n[same + apart])
-            same = same[100 * low.astype(np.int64) >= percent * high.astype(np.int64)]
-            out.append(_pairs(order[same], node[same], node[same + apart]))
-        return pd.concat(out, ignore_index=True).drop_duplicates()
+            x = np.flatnonzero((run[apart:] == run[:-apart]) & ~crowd[apart:])
+            y = x + apart
+            # What both sets still hold from the shared token on has to make up the intersection.
+            least = -(-percent * (n[x] + n[y]) // (100 + percent))
+            x, y = (z[np.minimum(left[x], left[y]) >= least] for z in (x, y))
+            out.append(_pairs(mask[x], node[x], node[y]))
+        return out
 
     def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry = None
-        for batch in batches:
-            if len(batch) == 0:
-                continue
-            tie = pd.arrays.IntegerArray(batch["tie"].to_numpy(np.int64), ~batch["tied"].to_numpy(bool))
-            batch = batch.drop(columns="tied").assign(tie=tie)
-            frame = batch if carry is None else pd.concat([carry, batch], ignore_index=True)
-            cut = run_starts(frame["token"].to_numpy())[-1]
-            carry = frame.iloc[cut:]
-            if len(carry) > 4 * FEW:
-                # A crowded token: its rows are tied now, and only the first is carried on.
-                carry = carry.assign(tie=carry["tie"].fillna(int(carry["node"].iloc[0])))
-                yield paired(carry)
-                carry = carry.iloc[:1]
-            if cut:
-                yield paired(frame.iloc[:cut])
-        if carry is not None:
-            yield paired(carry)
+        for frame in whole_runs(batches, ["bucket"]):
+            for a, b in slices(frame, ["bucket"]):
+                parts = [_unpacked(x, _PACKED) for x in frame["entries"].iloc[a:b]]
+                token = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+                node, n, place, tied = (np.concatenate([p[k] for p in parts]) for k in range(1, 5))
+                # Of a document's entries for a token, one that is tied goes first.
+                by_tie = np.argsort(1 - tied, kind="stable")
+                columns = _distinct(*(c[by_tie] for c in (token, node, n, place, tied.astype(bool))))
+                ties = [_unpacked(x, (np.int64, np.int64)) for x in frame["ties"].iloc[a:b] if x]
+                out = paired(*columns) + [_pairs(np.full(len(x), TIE, np.int8), x, y) for x, y in ties]
+                yield pd.concat(out, ignore_index=True).drop_duplicates()
 
     return pair
 
 
-def _pairs(order: np.ndarray, x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
+def _pairs(mask: np.ndarray, x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
     apart = x != y
     low, high = np.minimum(x, y), np.maximum(x, y)
-    return pd.DataFrame({"ord": order[apart], "a": high[apart], "b": low[apart]})
+    return pd.DataFrame({"mask": mask[apart], "a": high[apart], "b": low[apart]})
 
 
 def _pair_counts(rows: np.ndarray, lengths: np.ndarray, m: int) -> np.ndarray:
@@ -320,10 +361,14 @@ def _verify(size: int, percent: int):
     return verify
 
 
-def _found(docs: DataFrame, emit, percent: int) -> DataFrame:
-    prefixes = docs.select("text").mapInPandas(emit, "token long, node long, n int, tie long, tied boolean")
-    dealt = prefixes.repartition("token").sortWithinPartitions("token", "node")
-    return durable(dealt.mapInPandas(_pair_up(percent), "ord byte, a long, b long").distinct())
+def _found(docs: DataFrame, emit, percent: int, buckets: int) -> DataFrame:
+    """(a, b, mask): the orders under which two documents are a pair, and whether they are tied."""
+    prefixes = docs.select("text").mapInPandas(emit, "bucket long, entries binary, ties binary")
+    # Rows are wide: a task gets a few buckets, whatever the session's partitions and the input.
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets // TASK_BUCKETS)
+    dealt = prefixes.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    pairs = dealt.mapInPandas(_pair_up(percent), "mask byte, a long, b long")
+    return durable(pairs.groupBy("a", "b").agg(F.bit_or("mask").alias("mask")))
 
 
 def _mark_bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -354,15 +399,15 @@ def _bitmap(nodes: DataFrame):
     return nodes.sparkSession.sparkContext.broadcast(bits)
 
 
-def _groups(docs: DataFrame, levels, size: int, percent: int) -> DataFrame:
+def _groups(docs: DataFrame, levels, size: int, percent: int, buckets: int) -> DataFrame:
     """(node, family, grp): groups of pairs that pass every order, and groups of ties."""
-    first = _found(docs, _prefixes(size, percent, levels, range(1)), percent)
+    first = _found(docs, _prefixes(size, percent, levels, range(1), buckets), percent, buckets)
     ends = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    others = _found(docs, _prefixes(size, percent, levels, range(1, ORDERS), _bitmap(ends)), percent)
+    others = _found(docs, _prefixes(size, percent, levels, range(1, ORDERS), buckets, _bitmap(ends)), percent, buckets)
     both = first.unionByName(others)
-    passed = both.where("ord >= 0").groupBy("a", "b").agg(F.count_distinct("ord").alias("orders"))
-    pairs = components(passed.where(F.col("orders") == ORDERS).select("a", "b"))
-    ties = components(both.where("ord < 0").select("a", "b"))
+    every = both.groupBy("a", "b").agg(F.bit_or("mask").alias("mask")).where(F.expr(f"mask & {TIE - 1} = {TIE - 1}"))
+    pairs = components(every.select("a", "b"))
+    ties = components(both.where(F.expr(f"mask & {TIE} <> 0")).select("a", "b"))
     named = [
         g.select("node", F.lit(k).alias("family"), F.col("component").alias("grp")) for k, g in enumerate((pairs, ties))
     ]
@@ -430,7 +475,9 @@ def ngram_join(
     classes = durable(
         members.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
     )
-    groups = _groups(rows, levels, size, percent)
+    held = members.agg(F.sum("n"), F.count(F.lit(1))).first()
+    prefixes = prefix_length(held[0] or 0, percent) + held[1]
+    groups = _groups(rows, levels, size, percent, max(LEAST_BUCKETS, prefixes // BUCKET))
     wanted = classes.where("rep IS NOT NULL").withColumn("node", _node_column(F.col("digest"))).join(groups, "node")
     wanted = wanted.select(F.col("rep").alias("doc_id"), "digest", "n", "family", "grp")
     tiles = _tiles(rows, wanted, _bitmap(groups.select("node").distinct()), size)
