@@ -4,8 +4,8 @@ Two sets of Jaccard t or more share, under *any* order of all tokens, a token am
 first n - ceil(t n) + 1. Several orders give several such conditions, and a pair must meet
 all of them before its sets are compared:
 
-1. One pass finds each document's set, its digest, and a sketch of token frequencies of
-   fixed size. All orders put tokens of frequent sketch cells last; within a level each
+1. One pass finds each document's set, its digest, and a sketch of token frequencies, whose
+   cells grow with the text up to a bound. All orders put tokens of frequent sketch cells last; within a level each
    order has a hash of its own.
 2. A second pass emits the prefix tokens under the first order. Documents that share one are
    paired if they are few; if they are many, each is tied to the first of them. A third
@@ -41,7 +41,10 @@ from .shared import id_text, written
 from .words import mixed, shingle_set, text_words
 
 ORDERS = 3
+#: Cells of the sketch at least and at most, and bytes of text for a cell, some 24 tokens.
 CELLS = 1 << 22
+MOST_CELLS = 1 << 25
+_TEXT_OF_CELL = 192
 _SHARE = 1 << 15
 #: Bits that tell which documents have a partner.
 FILTER_BITS = 1 << 24
@@ -75,25 +78,31 @@ def _node(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def _cells(tokens: np.ndarray) -> np.ndarray:
-    return (mixed(tokens, 7) & np.uint64(CELLS - 1)).astype(np.int64)
+def sketch_cells(text_bytes: int) -> int:
+    """Cells for so much text, a power of two: in too few, rare tokens pass for frequent ones."""
+    wanted = 1 << max(0, text_bytes // _TEXT_OF_CELL - 1).bit_length()
+    return min(MOST_CELLS, max(CELLS, wanted))
 
 
-def _scan(size: int):
+def _cells(tokens: np.ndarray, cells: int) -> np.ndarray:
+    return (mixed(tokens, 7) & np.uint64(cells - 1)).astype(np.int64)
+
+
+def _scan(size: int, cells: int):
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(CELLS, np.uint32)
+        counts = np.zeros(cells, np.uint32)
         for batch in batches:
             n, digests = [], []
             for words in text_words(batch["text"]):
                 tokens = shingle_set(words, size)
                 n.append(len(tokens))
                 digests.append(_digest(tokens) if len(tokens) else None)
-                np.add.at(counts, _cells(tokens), 1)
+                np.add.at(counts, _cells(tokens, cells), 1)
             yield pd.DataFrame(
                 {"doc_id": batch["doc_id"], "n": n, "digest": digests, "share": None, "counts": None}
             )
-        shares = [k for k in range(CELLS // _SHARE) if counts[k * _SHARE : (k + 1) * _SHARE].any()]
-        blobs = [zlib.compress(counts[k * _SHARE : (k + 1) * _SHARE].tobytes(), 1) for k in shares]
+        shares = [k for k in range(cells // _SHARE) if counts[k * _SHARE : (k + 1) * _SHARE].any()]
+        blobs = [_counts_blob(counts[k * _SHARE : (k + 1) * _SHARE]) for k in shares]
         none = [None] * len(shares)
         yield pd.DataFrame(
             {"doc_id": pd.Series(none, dtype=object), "n": pd.array(none, "Int64"), "digest": none, "share": shares, "counts": blobs}
@@ -102,20 +111,30 @@ def _scan(size: int):
     return scan
 
 
+def _counts_blob(counts: np.ndarray) -> bytes:
+    """A share's counts in as few bytes each as hold the largest; the length tells how many."""
+    return zlib.compress(counts.astype(np.min_scalar_type(counts.max())).tobytes(), 1)
+
+
+def _blob_counts(blob: bytes) -> np.ndarray:
+    data = zlib.decompress(blob)
+    return np.frombuffer(data, f"u{len(data) // _SHARE}").astype(np.int64)
+
+
 def _sum_shares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for share, blob in zip(batch["share"], batch["counts"]):
-            part = np.frombuffer(zlib.decompress(blob), np.uint32).astype(np.int64)
+            part = _blob_counts(blob)
             sums[share] = sums[share] + part if share in sums else part
     levels = [(4 * np.log2(np.maximum(x, 1))).astype(np.uint8).tobytes() for x in sums.values()]
     yield pd.DataFrame({"share": list(sums), "levels": levels})
 
 
-def _levels(shares: DataFrame) -> np.ndarray:
-    """The frequency level of every sketch cell: CELLS bytes, whatever the input."""
+def _levels(shares: DataFrame, cells: int) -> np.ndarray:
+    """The frequency level of every sketch cell: a byte each, MOST_CELLS at most."""
     summed = shares.repartition(16, "share").mapInPandas(_sum_shares, "share int, levels binary")
-    levels = np.zeros(CELLS, np.uint8)
+    levels = np.zeros(cells, np.uint8)
     for row in summed.collect():
         levels[row["share"] * _SHARE : (row["share"] + 1) * _SHARE] = np.frombuffer(row["levels"], np.uint8)
     return levels
@@ -126,7 +145,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _order_key(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray:
-    high = levels[_cells(tokens)].astype(np.uint64) << np.uint64(56)
+    high = levels[_cells(tokens, len(levels))].astype(np.uint64) << np.uint64(56)
     return high | (mixed(tokens, 100 + order) >> np.uint64(8))
 
 
@@ -467,10 +486,13 @@ def ngram_join(
     gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    scanned = written(
-        rows.withColumn("doc_id", id_text("doc_id")).mapInPandas(_scan(size), "doc_id string, n long, digest binary, share int, counts binary"), "scan"
+    cells = sketch_cells(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    scan = rows.withColumn("doc_id", id_text("doc_id")).mapInPandas(
+        _scan(size, cells), "doc_id string, n long, digest binary, share int, counts binary"
     )
-    levels = docs.sparkSession.sparkContext.broadcast(_levels(scanned.where("share IS NOT NULL").select("share", "counts")))
+    scanned = written(scan, "scan")
+    shares = scanned.where("share IS NOT NULL").select("share", "counts")
+    levels = docs.sparkSession.sparkContext.broadcast(_levels(shares, cells))
     members = scanned.where("share IS NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "n", "digest")
     classes = durable(
         members.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))

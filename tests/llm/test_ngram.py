@@ -96,3 +96,27 @@ def test_links_are_pairs_under_every_order_or_ties():
                 both = len(np.intersect1d(sets[a], sets[b]))
                 if a > b and 100 * both >= PERCENT * (len(sets[a]) + len(sets[b]) - both):
                     assert found.get((a, b), 0) & (nj.TIE - 1) == nj.TIE - 1 or b in groups[a]
+
+
+def test_the_sketch_grows_with_the_text():
+    gigabyte = 1 << 30
+    sizes = [nj.sketch_cells(k * gigabyte) for k in (0, 1, 4, 40)]
+    assert sizes == [nj.CELLS, 1 << 23, 1 << 25, nj.MOST_CELLS]
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 5000, 100)) for _ in range(20)]
+    for cells in (nj.CELLS, 2 * nj.CELLS):
+        *rows, last = nj._scan(4, cells)(iter([pd.DataFrame({"doc_id": ["1"] * 20, "text": texts})]))
+        levels = np.zeros(cells, np.int64)
+        for share, blob in zip(last["share"], last["counts"]):
+            levels[share * nj._SHARE : (share + 1) * nj._SHARE] = nj._blob_counts(blob)
+        want = np.zeros(cells, np.int64)
+        for words in text_words(texts):
+            np.add.at(want, nj._cells(shingle_set(words, 4), cells), 1)
+        assert (levels == want).all()
+
+
+def test_counts_of_a_share_keep_their_values():
+    for largest in (1, 255, 256, 70_000, (1 << 32) - 1):
+        counts = np.zeros(nj._SHARE, np.uint32)
+        counts[[0, 5, -1]] = largest, 1, largest
+        assert (nj._blob_counts(nj._counts_blob(counts)) == counts).all()
