@@ -35,8 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
+from .bitmap import bitmap, has_bits
 from .components import components
-from .runs import run_starts, slices, whole_runs
+from .runs import packed, run_starts, slices, unpacked, whole_runs
 from .shared import id_text, written
 from .words import mixed, shingle_set, text_words
 
@@ -149,19 +150,6 @@ def _order_key(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray
     return high | (mixed(tokens, 100 + order) >> np.uint64(8))
 
 
-def _packed(columns: tuple[np.ndarray, ...], kinds: tuple) -> bytes:
-    """Columns byte by byte, all lowest bytes of a column first, so that high bytes compress to nothing."""
-    parts = [np.ascontiguousarray(c, dtype=k).view(np.uint8) for c, k in zip(columns, kinds)]
-    return b"".join(p.reshape(-1, np.dtype(k).itemsize).T.tobytes() for p, k in zip(parts, kinds))
-
-
-def _unpacked(blob: bytes, kinds: tuple) -> list[np.ndarray]:
-    widths = [np.dtype(k).itemsize for k in kinds]
-    planes = np.frombuffer(blob, np.uint8).reshape(sum(widths), -1)
-    ends = np.cumsum(widths)
-    return [np.ascontiguousarray(planes[e - w : e].T).view(k).ravel() for e, w, k in zip(ends, widths, kinds)]
-
-
 def _distinct(token: np.ndarray, node: np.ndarray, *more: np.ndarray) -> list[np.ndarray]:
     """The columns sorted by token and node, one entry for each two."""
     by_token = np.lexsort((node, token))
@@ -189,21 +177,14 @@ def _combined(token: np.ndarray, node: np.ndarray, n: np.ndarray, place: np.ndar
     for a, b, x, y in zip(cuts.tolist(), ends.tolist(), *(c.tolist() for c in tie_cuts)):
         own = [c[a:b] for c in columns]
         own[0] = np.diff(own[0], prepend=np.uint64(0))
-        rows.append(_packed(own, _PACKED))
+        rows.append(packed(own, _PACKED))
         two = _distinct(node[goes][x:y], tie[x:y]) if x < y else (node[:0], node[:0])
-        ties.append(_packed(two, (np.int64, np.int64)))
+        ties.append(packed(two, (np.int64, np.int64)))
     return pd.DataFrame({"bucket": names.astype(np.int64), "entries": rows, "ties": ties})
 
 
-def _bit(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte and bit of a node in the bitmap."""
-    at = mixed(nodes.view(np.uint64), 13) % np.uint64(FILTER_BITS)
-    return (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
-
-
 def _marked(bits: np.ndarray, digest: bytes) -> bool:
-    byte, bit = _bit(np.array([_node(digest)]))
-    return bool(bits[byte[0]] & bit[0])
+    return bool(has_bits(bits, np.array([_node(digest)]))[0])
 
 
 def _prefixes(size: int, percent: int, levels, orders: range, buckets: int, partnered=None):
@@ -269,13 +250,13 @@ def _pair_up(percent: int):
     def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_runs(batches, ["bucket"]):
             for a, b in slices(frame, ["bucket"]):
-                parts = [_unpacked(x, _PACKED) for x in frame["entries"].iloc[a:b]]
+                parts = [unpacked(x, _PACKED) for x in frame["entries"].iloc[a:b]]
                 token = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
                 node, n, place, tied = (np.concatenate([p[k] for p in parts]) for k in range(1, 5))
                 # Of a document's entries for a token, one that is tied goes first.
                 by_tie = np.argsort(1 - tied, kind="stable")
                 columns = _distinct(*(c[by_tie] for c in (token, node, n, place, tied.astype(bool))))
-                ties = [_unpacked(x, (np.int64, np.int64)) for x in frame["ties"].iloc[a:b] if x]
+                ties = [unpacked(x, (np.int64, np.int64)) for x in frame["ties"].iloc[a:b] if x]
                 out = paired(*columns) + [_pairs(np.full(len(x), TIE, np.int8), x, y) for x, y in ties]
                 yield pd.concat(out, ignore_index=True).drop_duplicates()
 
@@ -390,39 +371,11 @@ def _found(docs: DataFrame, emit, percent: int, buckets: int) -> DataFrame:
     return durable(pairs.groupBy("a", "b").agg(F.bit_or("mask").alias("mask")))
 
 
-def _mark_bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for batch in batches:
-        np.bitwise_or.at(bits, *_bit(batch["node"].to_numpy()))
-    shares = [k for k in range(len(bits) // _SHARE) if bits[k * _SHARE : (k + 1) * _SHARE].any()]
-    parts = [zlib.compress(bits[k * _SHARE : (k + 1) * _SHARE].tobytes(), 1) for k in shares]
-    yield pd.DataFrame({"share": pd.Series(shares, dtype="int64"), "bits": pd.Series(parts, dtype=object)})
-
-
-def _either(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for share, blob in zip(batch["share"], batch["bits"]):
-            part = np.frombuffer(zlib.decompress(blob), np.uint8)
-            sums[share] = sums[share] | part if share in sums else part
-    parts = [x.tobytes() for x in sums.values()]
-    yield pd.DataFrame({"share": pd.Series(list(sums), dtype="int64"), "bits": pd.Series(parts, dtype=object)})
-
-
-def _bitmap(nodes: DataFrame):
-    """A broadcast bitmap of nodes: FILTER_BITS bits, whatever the input."""
-    marked = nodes.mapInPandas(_mark_bits, "share long, bits binary").repartition(8, "share")
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for share, blob in marked.mapInPandas(_either, "share long, bits binary").collect():
-        bits[share * _SHARE : (share + 1) * _SHARE] = np.frombuffer(blob, np.uint8)
-    return nodes.sparkSession.sparkContext.broadcast(bits)
-
-
 def _groups(docs: DataFrame, levels, size: int, percent: int, buckets: int) -> DataFrame:
     """(node, family, grp): groups of pairs that pass every order, and groups of ties."""
     first = _found(docs, _prefixes(size, percent, levels, range(1), buckets), percent, buckets)
     ends = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    others = _found(docs, _prefixes(size, percent, levels, range(1, ORDERS), buckets, _bitmap(ends)), percent, buckets)
+    others = _found(docs, _prefixes(size, percent, levels, range(1, ORDERS), buckets, bitmap(ends, FILTER_BITS)), percent, buckets)
     both = first.unionByName(others)
     every = both.groupBy("a", "b").agg(F.bit_or("mask").alias("mask")).where(F.expr(f"mask & {TIE - 1} = {TIE - 1}"))
     pairs = components(every.select("a", "b"))
@@ -502,7 +455,7 @@ def ngram_join(
     groups = _groups(rows, levels, size, percent, max(LEAST_BUCKETS, prefixes // BUCKET))
     wanted = classes.where("rep IS NOT NULL").withColumn("node", _node_column(F.col("digest"))).join(groups, "node")
     wanted = wanted.select(F.col("rep").alias("doc_id"), "digest", "n", "family", "grp")
-    tiles = _tiles(rows, wanted, _bitmap(groups.select("node").distinct()), size)
+    tiles = _tiles(rows, wanted, bitmap(groups.select("node").distinct(), FILTER_BITS), size)
     labels = components(tiles.mapInPandas(_verify(size, percent), "a long, b long"))
     settled = durable(
         classes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(

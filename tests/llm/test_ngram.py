@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 
 from aerowx.llm import ngram_join as nj
+from aerowx.llm.runs import unpacked
 from aerowx.llm.words import shingle_set, text_words
 
 PERCENT = 85
@@ -45,7 +46,7 @@ def test_prefix_tokens_travel_packed():
         order = np.argsort(nj._order_key(tokens, Flat.value, 0))[: nj.prefix_length(len(tokens), PERCENT)]
         want[node] = [(int(t) >> 16 << 2, len(tokens), k) for k, t in enumerate(tokens[order])]
     for bucket, blob in zip(frame["bucket"], frame["entries"]):
-        token, node, n, place, tied = nj._unpacked(blob, nj._PACKED)
+        token, node, n, place, tied = unpacked(blob, nj._PACKED)
         token = np.cumsum(token, dtype=np.uint64)
         assert not tied.any() and {(int(t) >> 18) * 16 >> 32 for t in token} == {bucket}
         for row in zip(token.tolist(), node.tolist(), n.tolist(), place.tolist()):
